@@ -1,0 +1 @@
+"""Intentionally empty: every operator in this package is a batch operator."""
