@@ -73,6 +73,11 @@ def from_documents(documents: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     :func:`lockgate.operators.gate.verdicts` works it out again.
     """
     parsed = documents.select(*by, F.from_json("document", _DOCUMENT).alias("d"))
+    rest = [f"r.{name}" for name in _RESULT_NAMES if name != "position"]
     whole = F.col("d.stage").isNotNull() & F.col("d.results").isNotNull()
     whole = whole & F.col("d.ruleset").isNotNull() & F.col("d.total_rows").isNotNull()
-    return parsed.filter(whole).select(*by, "d.stage", "d.ruleset", F.inline("d.results"))
+    # Rules keep the order they have in the document.
+    rows = parsed.filter(whole).select(
+        *by, "d.stage", "d.ruleset", F.posexplode("d.results").alias("position", "r")
+    )
+    return rows.select(*by, "stage", "ruleset", "position", *rest)

@@ -48,15 +48,19 @@ def stored_layouts(
 
 
 def _layout_reader(fmt: str):
+    SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
     # A closure with its own imports: it travels to the workers by value, which
     # then need no copy of this package.
     def read(batches: Iterator) -> Iterator:
         import csv
+        import json
 
         import pyarrow as pa
         from pyarrow import fs as arrow_fs
         from pyarrow import parquet
         from pyspark.sql.pandas.types import from_arrow_schema
+        from pyspark.sql.types import StructType
 
         fields = pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))
         layout = pa.schema([("extract", pa.string()), ("columns", fields)])
@@ -75,9 +79,23 @@ def _layout_reader(fmt: str):
                     header = next(csv.reader([_first_line(stream)]))
                 return [{"name": name, "type": "string"} for name in header]
             with system.open_input_file(path) as source:
-                stored = parquet.read_schema(source)
-            spark_types = from_arrow_schema(stored, prefer_timestamp_ntz=True)
-            return [{"name": f.name, "type": f.dataType.simpleString()} for f in spark_types]
+                footer = parquet.read_metadata(source)
+            written_by_spark = (footer.metadata or {}).get(SPARK_SCHEMA)
+            if written_by_spark:
+                spark_types = StructType.fromJson(json.loads(written_by_spark))
+            else:
+                arrow = footer.schema.to_arrow_schema()
+                spark_types = from_arrow_schema(arrow, prefer_timestamp_ntz=True)
+            # Arrow takes the old 96-bit times for local ones; Spark does not.
+            leaves = (footer.schema.column(i) for i in range(len(footer.schema)))
+            instants = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
+            return [
+                {
+                    "name": f.name,
+                    "type": "timestamp" if f.name in instants else f.dataType.simpleString(),
+                }
+                for f in spark_types
+            ]
 
         def _first_line(stream) -> str:
             line = b""

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from functools import cache
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +71,13 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
         child = status.getPath()
         listed.append((child.getName(), child.toString(), status.isDirectory()))
     return listed
+
+
+def partitions(spark: SparkSession, path: str, column: str) -> list[tuple[str, str]]:
+    """(value, directory) of the partition directories of ``column`` under ``path``."""
+    prefix = f"{column}="
+    return [
+        (unquote(name.removeprefix(prefix)), child)
+        for name, child, is_dir in children(spark, path)
+        if is_dir and name.startswith(prefix)
+    ]
