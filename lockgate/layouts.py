@@ -4,30 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+INT, BIGINT, DOUBLE = T.IntegerType(), T.LongType(), T.DoubleType()
+STRING, BOOLEAN = T.StringType(), T.BooleanType()
+TIMESTAMP, DATE = T.TimestampType(), T.DateType()
+
+
+def _layout(*columns: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns])
+
+
 # --- Fixed values: column names, types and codes of the published trip feed ---
 
-RAW_LAYOUT = T.StructType.fromDDL(
-    """
-    VendorID int,
-    tpep_pickup_datetime timestamp,
-    tpep_dropoff_datetime timestamp,
-    passenger_count bigint,
-    trip_distance double,
-    RatecodeID bigint,
-    store_and_fwd_flag string,
-    PULocationID int,
-    DOLocationID int,
-    payment_type bigint,
-    fare_amount double,
-    extra double,
-    mta_tax double,
-    tip_amount double,
-    tolls_amount double,
-    improvement_surcharge double,
-    total_amount double,
-    congestion_surcharge double,
-    airport_fee double
-    """
+RAW_LAYOUT = _layout(
+    ("VendorID", INT),
+    ("tpep_pickup_datetime", TIMESTAMP),
+    ("tpep_dropoff_datetime", TIMESTAMP),
+    ("passenger_count", BIGINT),
+    ("trip_distance", DOUBLE),
+    ("RatecodeID", BIGINT),
+    ("store_and_fwd_flag", STRING),
+    ("PULocationID", INT),
+    ("DOLocationID", INT),
+    ("payment_type", BIGINT),
+    ("fare_amount", DOUBLE),
+    ("extra", DOUBLE),
+    ("mta_tax", DOUBLE),
+    ("tip_amount", DOUBLE),
+    ("tolls_amount", DOUBLE),
+    ("improvement_surcharge", DOUBLE),
+    ("total_amount", DOUBLE),
+    ("congestion_surcharge", DOUBLE),
+    ("airport_fee", DOUBLE),
 )
 
 RENAMES = {
@@ -89,18 +96,16 @@ GOLD_LAYOUT = T.StructType(
     ]
 )
 
-ENRICHED = T.StructType.fromDDL(
-    """
-    trip_duration_min double,
-    avg_speed_mph double,
-    fare_per_mile double,
-    tip_pct double,
-    pickup_date date,
-    pickup_hour int,
-    pickup_day_of_week int,
-    time_of_day string,
-    is_airport_trip boolean
-    """
+ENRICHED = _layout(
+    ("trip_duration_min", DOUBLE),
+    ("avg_speed_mph", DOUBLE),
+    ("fare_per_mile", DOUBLE),
+    ("tip_pct", DOUBLE),
+    ("pickup_date", DATE),
+    ("pickup_hour", INT),
+    ("pickup_day_of_week", INT),
+    ("time_of_day", STRING),
+    ("is_airport_trip", BOOLEAN),
 )
 
 # --- End of fixed values ---

@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lockgate.operators.evaluate import RESULT_FIELDS
 from lockgate.operators.gate import verdicts
@@ -16,9 +15,8 @@ from lockgate.sources import storage
 RUN = ("stage", "run_id")
 DEFAULT_KEEP = 30
 
-_STORED = T.StructType.fromDDL(
-    f"recorded_at string, ruleset string, {RESULT_FIELDS}, stage string, run_id string"
-)
+_STORED = f"recorded_at string, ruleset string, {RESULT_FIELDS}, stage string, run_id string"
+_STORED_NAMES = [field.split()[0] for field in _STORED.split(",")]
 
 _AGE = ("recorded_at", "run_id")
 
@@ -109,7 +107,7 @@ class History:
             "recorded_at": recorded_at or timestamp_text(),
         }
         missing = {k: F.lit(v) for k, v in given.items() if k not in results.columns}
-        rows = results.withColumns(missing).select(*_STORED.fieldNames())
+        rows = results.withColumns(missing).select(*_STORED_NAMES)
         # Reports of one run are a handful of rows; those of many runs are
         # brought together so that every run becomes one file.
         rows = rows.coalesce(1) if "run_id" in missing else rows.repartition(*RUN)
