@@ -83,15 +83,15 @@ def compare_reports(
 ) -> DataFrame:
     """Two reports, rule by rule, matched by stage and rule name.
 
-    Either side may hold several stages, but both have to hold the same ones.
+    Either side may hold several stages, but both have to hold the same ones;
+    a stage without a counterpart fails the query that reads the comparison.
     """
-    names = [
-        {row.stage for row in side.select("stage").distinct().collect()}
-        for side in (previous, current)
-    ]
-    if names[0] != names[1]:
-        raise ValueError(f"cannot compare stages {sorted(names[0])} with {sorted(names[1])}")
-    return _trend(previous, current, tolerance)
+    compared = _trend(previous, current, tolerance)
+    alone = F.col("previous_rows").isNull() | F.col("current_rows").isNull()
+    refusal = F.concat(F.lit("no report to compare with for stage "), F.col("stage"))
+    return compared.withColumn(
+        "stage", F.when(alone, F.raise_error(refusal).cast("string")).otherwise(F.col("stage"))
+    )
 
 
 def compare_runs(results: DataFrame, *, tolerance: float = DEFAULT_TOLERANCE) -> DataFrame:
