@@ -7,6 +7,8 @@ same UTC wall clock, and the result must not move with the session time zone.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,6 +78,11 @@ def exact_mean(value: Column) -> Column:
     return ratio(exact_sum(value), F.count(value))
 
 
+def constant(value: list | dict, ddl: str) -> Column:
+    """Nested constant data as one column; the optimizer folds it to a literal."""
+    return F.from_json(F.lit(json.dumps(value)), ddl)
+
+
 def all_true(conditions) -> Column:
     """Conjunction that is true for an empty list."""
     result = None

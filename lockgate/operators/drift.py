@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lockgate.functions.expressions import constant
 from lockgate.layouts import RAW_LAYOUT
 from lockgate.sources.raw import LAYOUT_FIELDS
 
@@ -40,6 +41,7 @@ WIDENINGS = {
 
 # --- End of fixed values ---
 
+_WANTED = "array<struct<name: string, type: string, narrower: array<string>>>"
 _DRIFT = "struct<column: string, kind: string, expected: string, actual: string>"
 
 
@@ -71,14 +73,15 @@ def with_drift(
     def key(name: Column) -> Column:
         return name if case_sensitive else F.lower(name)
 
-    def wanted(field: T.StructField) -> Column:
-        dtype = field.dataType.simpleString()
-        narrower = F.array(*map(F.lit, WIDENINGS.get(dtype, ()))).cast("array<string>")
-        return F.struct(
-            F.lit(field.name).alias("name"), F.lit(dtype).alias("type"), narrower.alias("narrower")
-        )
-
-    stored, want = F.col("columns"), F.array(*map(wanted, declared))
+    wanted = [
+        {
+            "name": field.name,
+            "type": field.dataType.simpleString(),
+            "narrower": WIDENINGS.get(field.dataType.simpleString(), ()),
+        }
+        for field in declared
+    ]
+    stored, want = F.col("columns"), constant(wanted, _WANTED)
 
     def paired(d: Column) -> Column:
         same = F.filter(stored, lambda s: key(s["name"]) == key(d["name"]))
@@ -123,7 +126,6 @@ def _blocks(kind: Column) -> Column:
 
 def drift_line() -> Column:
     expected, actual = F.col("expected"), F.col("actual")
-    # F.concat gives null when one side is missing, which picks the branch.
     detail = (
         F.when(F.col("kind") == MISSING, F.format_string("declared %s, absent from the source", expected))
         .when(F.col("kind") == UNEXPECTED, F.format_string("stored as %s, never declared", actual))

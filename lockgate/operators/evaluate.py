@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lockgate.functions.expressions import all_true
+from lockgate.functions.expressions import all_true, constant
 from lockgate.operators.rules import Rule, RuleSet
 
 #: Added to quarantined rows: the names of all the rules they broke, in order.
@@ -20,18 +20,25 @@ RESULT_FIELDS = """
     failing_rows bigint, total_rows bigint, metric double
 """
 
+_KNOWN = (
+    "name: string, description: string, severity: string, columns: array<string>, threshold: double"
+)
+
 
 def _count_true(flag: Column) -> Column:
     return F.coalesce(F.sum(flag.cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def measure(df: DataFrame, ruleset: RuleSet, by: Sequence[str] = ()) -> DataFrame:
-    """Everything a report needs, in one aggregation: one row per ``by`` group.
+    """Everything a report needs, in one query: one row per ``by`` group.
 
     ``clean_rows`` counts the rows that no quarantine rule rejects, so the
     sizes of both halves of :func:`split` are known before either is written.
-    Counts are combined on the map side; a group of any size shuffles one
-    record per input partition.
+
+    Counts are combined on the map side, so a group of any size shuffles one
+    record per input partition. A distinct count has to shuffle its values; it
+    gets an aggregation of its own, which then carries that one column only,
+    instead of every other count along with each distinct value.
     """
     # Flags get columns of their own first: each predicate is then computed once
     # per row, however many counts it takes part in.
@@ -41,11 +48,20 @@ def measure(df: DataFrame, ruleset: RuleSet, by: Sequence[str] = ()) -> DataFram
     )
     counts = [F.count(F.lit(1)).alias("total_rows"), _count_true(clean).alias("clean_rows")]
     counts += [_count_true(F.col(f)).alias(f.removeprefix("_")) for f in flags]
-    counts += [
-        rule.metric.cast("double").alias(f"metric_{i}")
+    metrics = [
+        (rule, rule.metric.cast("double").alias(f"metric_{i}"))
         for i, rule in enumerate(ruleset.dataset_rules)
     ]
-    return df.withColumns(flags).groupBy(*by).agg(*counts)
+    counts += [metric for rule, metric in metrics if not rule.distinct]
+    result = df.withColumns(flags).groupBy(*by).agg(*counts)
+    apart = [metric for rule, metric in metrics if rule.distinct]
+    if not apart:
+        return result
+    for metric in apart:
+        result = result.unionByName(df.groupBy(*by).agg(metric), allowMissingColumns=True)
+    # One row per group again; each column is known in one of the united rows.
+    known = [F.max(name).alias(name) for name in result.columns if name not in by]
+    return result.groupBy(*by).agg(*known)
 
 
 def results_of(
@@ -71,35 +87,37 @@ def results_of(
     ]
     exploded = measures.select(*by, "total_rows", F.posexplode(F.array(*measured)))
 
-    # What does not depend on the data sits in constant arrays, looked up by
-    # position: the generated code stays small for any number of rules.
-    every = [*row_rules, *dataset_rules]
-
-    def known(values: Iterable[Column]) -> Column:
-        return F.get(F.array(*values), F.col("pos"))
+    # What does not depend on the data is one constant, looked up by position:
+    # the generated code stays small for any number of rules.
+    known = [
+        {
+            "name": rule.name,
+            "description": rule.description,
+            "severity": str(rule.severity),
+            "columns": rule.columns,
+            "threshold": float(rule.threshold) if rule in row_rules else None,
+        }
+        for rule in (*row_rules, *dataset_rules)
+    ]
+    rule = F.get(constant(known, f"array<struct<{_KNOWN}>>"), F.col("pos"))
 
     is_row = F.col("pos") < len(row_rules)
     held, total = F.col("col.held"), F.col("total_rows")
     # No rows, no violations: an empty dataset is caught by a row count rule,
     # not by rates.
     rate = F.when(is_row, F.when(total == 0, 1.0).otherwise(held / total))
-    threshold = known(
-        [F.lit(float(rule.threshold)) for rule in row_rules]
-        + [F.lit(None).cast("double")] * len(dataset_rules)
-    )
+    threshold = rule["threshold"]
     return exploded.select(
         *by,
         F.lit(stage or ruleset.name).alias("stage"),
         F.lit(ruleset.name).alias("ruleset"),
         F.col("pos").alias("position"),
-        known(F.lit(rule.name) for rule in every).alias("name"),
-        known(F.lit(rule.description) for rule in every).alias("description"),
-        known(F.lit(str(rule.severity)) for rule in every).alias("severity"),
+        rule["name"].alias("name"),
+        rule["description"].alias("description"),
+        rule["severity"].alias("severity"),
         F.when(is_row, "row").otherwise("dataset").alias("kind"),
         F.when(is_row, rate >= threshold).otherwise(F.col("col.accepted")).alias("passed"),
-        known(
-            F.array(*map(F.lit, rule.columns)).cast("array<string>") for rule in every
-        ).alias("columns"),
+        rule["columns"].alias("columns"),
         threshold.alias("threshold"),
         rate.alias("pass_rate"),
         (total - held).alias("failing_rows"),
