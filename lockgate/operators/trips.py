@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -116,10 +116,11 @@ def picked_up_between(df: DataFrame, since: date | None, until: date | None) ->
     stored timestamp is what the Parquet reader can use.
     """
     check_window(since, until)
-    zone = timezone.utc if is_instant(df, "pickup_at") else None
+    # Cast from text: a Python datetime would become an instant either way.
+    kind, zone = ("timestamp", "Z") if is_instant(df, "pickup_at") else ("timestamp_ntz", "")
 
     def midnight(day: date) -> Column:
-        return F.lit(datetime(day.year, day.month, day.day, tzinfo=zone))
+        return F.lit(f"{day.isoformat()} 00:00:00{zone}").cast(kind)
 
     if since:
         df = df.filter(F.col("pickup_at") >= midnight(since))
