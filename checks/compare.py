@@ -49,6 +49,17 @@ def _rows(names: list[str], rows) -> tuple[list[str], Counter]:
     return [names[i] for i in order], Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+SAME_TYPE = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def difference(found: DataFrame, connection, sql: str) -> str | None:
     """None when names and rows agree, otherwise what differs."""
     expected = connection.execute(sql)
@@ -56,6 +67,11 @@ def difference(found: DataFrame, connection, sql: str) -> str | None:
     have_names, have = _rows(found.columns, found.collect())
     if names != have_names:
         return f"columns {have_names} instead of {names}"
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    types = {name: kind for name, kind, *_ in described}
+    other = {n: (k, types[n]) for n, k in found.dtypes if SAME_TYPE.get(k) != types[n]}
+    if other:
+        return f"types {other}"
     if want == have:
         return None
     surplus, missing = have - want, want - have

@@ -1,4 +1,7 @@
-"""One-line renderings of numbers, as columns."""
+"""One-line renderings of numbers, as columns.
+
+``format_string`` writes a null as the word; here a null stays null.
+"""
 
 from __future__ import annotations
 
@@ -8,11 +11,11 @@ from pyspark.sql import functions as F
 
 def percent(value: Column, places: int, *, signed: bool = False) -> Column:
     flag = "+" if signed else ""
-    return F.format_string(f"%{flag}.{places}f%%", value * 100)
+    return F.when(value.isNotNull(), F.format_string(f"%{flag}.{places}f%%", value * 100))
 
 
 def thousands(value: Column) -> Column:
-    return F.format_string("%,d", value)
+    return F.when(value.isNotNull(), F.format_string("%,d", value))
 
 
 def six_digits(value: Column) -> Column:
@@ -25,7 +28,8 @@ def six_digits(value: Column) -> Column:
         "$1",
     )
     return (
-        F.when(value == 0, F.lit("0"))
+        F.when(value.isNull(), F.lit(None))
+        .when(value == 0, F.lit("0"))
         .when(exponent.between(-4, 5), F.regexp_replace(fixed, r"\.$", ""))
         .otherwise(F.regexp_replace(scientific, r"\.?0*e", "e"))
     )

@@ -147,7 +147,7 @@ def test_different_stages_are_not_compared(spark):
 
 def test_summary_and_lines(spark):
     before = report(spark, ("a", 0.99), ("b", 0.99), ("d", True), ("gone", 0.99), rows=8080)
-    after = report(spark, ("a", 0.90), ("b", 0.995), ("d", False), ("new", 0.99), rows=8200)
+    after = report(spark, ("a", 0.90), ("b", 0.993), ("d", False), ("new", 0.99), rows=8200)
     trend = tr.compare_reports(before, after)
     summary = tr.trend_summary(trend).first()
     assert (summary.regression_count, summary.broken_count, summary.stable) == (2, 2, False)
@@ -156,7 +156,7 @@ def test_summary_and_lines(spark):
     lines = {r["name"]: r.line for r in trend.select("name", tr.trend_line().alias("line")).collect()}
     assert lines == {
         "a": "[DOWN] a: 99.0000% -> 90.0000% (-9.0000%), now below its threshold",
-        "b": "[  = ] b: 99.0000% -> 99.5000% (+0.5000%)",
+        "b": "[  = ] b: 99.0000% -> 99.3000% (+0.3000%)",
         "d": "[DOWN] d: pass -> fail, now below its threshold",
         "gone": "[GONE] gone: was 99.0000%, no longer checked",
         "new": "[NEW ] new: not checked last run, now 99.0000%",
@@ -165,6 +165,13 @@ def test_summary_and_lines(spark):
         tr.block_on_regression(tr.trend_summary(trend))
 
 
+def test_lines_of_rules_without_rates(spark):
+    trend = tr.compare_reports(report(spark, ("a", 1.0), ("gone", True)), report(spark, ("a", 1.0), ("new", True)))
+    lines = {r["name"]: r.line for r in trend.select("name", tr.trend_line().alias("line")).collect()}
+    assert lines["new"] == "[NEW ] new: not checked last run, now -"
+    assert lines["gone"] == "[GONE] gone: was -, no longer checked"
+
+
 def test_no_previous_rows_no_ratio(spark):
     trend = tr.compare_reports(report(spark, ("a", 1.0), rows=0), report(spark, ("a", 1.0)))
     summary = tr.trend_summary(trend).first()

@@ -54,6 +54,8 @@ def test_lines(results):
 def test_large_counts_and_missing_metrics(spark, results):
     many = results.filter("position = 1").withColumn("failing_rows", F.lit(1234567))
     assert many.select(rule_line()).first()[0].endswith("1,234,567 bad rows")
+    bare = results.filter("position = 1").withColumn("threshold", F.lit(None).cast("double"))
+    assert bare.select(rule_line()).first()[0] == "[FAIL] not_null[v]: 97.0000% pass, 30 bad rows"
     none = results.filter("position = 3").withColumn("metric", F.lit(None).cast("double"))
     assert none.select(rule_line()).first()[0] == "[FAIL] row_count_at_least: no metric"
 
