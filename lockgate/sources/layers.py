@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from urllib.parse import unquote
 
@@ -13,6 +14,9 @@ from pyspark.sql import types as T
 from lockgate.layouts import PARTITION
 from lockgate.sources import storage
 
+#: Partition directories looked at concurrently.
+LISTERS = 32
+
 
 class NothingToPublish(RuntimeError):
     """A stage has no rows left to write.
@@ -48,19 +52,42 @@ def _arranged(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.repartition(tasks, *[F.col(c) for c in partition_by], salt)
 
 
-def _marks(spark: SparkSession, path: str, depth: int) -> dict[str, str]:
-    """One data file of every partition directory: {directory: file}."""
-    entries = storage.children(spark, path)
-    if depth == 0:
-        files = [p for name, p, is_dir in entries if not is_dir and name[0] not in "._"]
-        return {path: files[0]} if files else {}
-    found: dict[str, str] = {}
-    for name, child, is_dir in entries:
-        if is_dir and "=" in name:
-            found |= _marks(spark, child, depth - 1)
+def _marks(
+    spark: SparkSession, path: str, depth: int, since: date | None, until: date | None
+) -> dict[str, str]:
+    """One data file of every partition directory in the window: {directory: file}.
+
+    Directories are listed side by side, because an object store answers each
+    listing slowly but many at once.
+    """
+
+    def inside(directory: str) -> list[tuple[str, str, bool]]:
+        return storage.children(spark, directory)
+
+    with ThreadPoolExecutor(LISTERS) as pool:
+        level = [path]
+        for _ in range(depth):
+            entries = [entry for listed in pool.map(inside, level) for entry in listed]
+            level = [child for name, child, is_dir in entries if is_dir and "=" in name]
+        level = [directory for directory in level if _in_window(directory, since, until)]
+        found = {}
+        for directory, entries in zip(level, pool.map(inside, level)):
+            files = [p for name, p, is_dir in entries if not is_dir and name[0] not in "._"]
+            if files:
+                found[directory] = files[0]
     return found
 
 
+def _drop_unreplaced(spark: SparkSession, marks: dict[str, str]) -> None:
+    def check(item: tuple[str, str]) -> None:
+        directory, mark = item
+        if storage.exists(spark, mark):
+            storage.delete(spark, directory)
+
+    with ThreadPoolExecutor(LISTERS) as pool:
+        list(pool.map(check, marks.items()))
+
+
 def _in_window(directory: str, since: date | None, until: date | None) -> bool:
     values = [p.partition("=")[2] for p in directory.split("/") if p.startswith(f"{PARTITION}=")]
     if not (since or until):
@@ -96,11 +123,10 @@ def write_layer(
     if not partition_by:
         df.write.mode(mode).parquet(path)
         return
-    depth = len(partition_by)
-    before = _marks(spark, path, depth) if mode == "overwrite" else {}
+    before = {}
+    if mode == "overwrite":
+        before = _marks(spark, path, len(partition_by), since, until)
     if not empty:
         writer = _arranged(df, partition_by).write.mode(mode).partitionBy(*partition_by)
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    for directory, mark in before.items():
-        if _in_window(directory, since, until) and storage.exists(spark, mark):
-            storage.delete(spark, directory)
+    _drop_unreplaced(spark, before)

@@ -94,3 +94,17 @@ def test_a_day_is_written_to_few_files(spark, conf, tmp_path, adaptive, most_fil
     for day in path.glob("pickup_date=*"):
         assert 1 <= len(list(day.glob("*.parquet"))) <= most_files
     assert spark.read.parquet(str(path)).count() == 4000
+
+
+def test_a_day_that_holds_most_rows_is_written_by_several_tasks(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100000")
+    path = tmp_path / "t"
+    rows = spark.range(0, 300_000, 1, 8).select(
+        F.col("id").cast("int"),
+        F.when(F.col("id") % 10 == 0, F.lit(DAYS[1])).otherwise(F.lit(DAYS[0])).alias("pickup_date"),
+        F.sha2(F.col("id").cast("string"), 256).alias("kind"),
+    )
+    write_layer(rows, str(path))
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in path.glob("pickup_date=*")}
+    assert files[f"pickup_date={DAYS[0]}"] > 4
+    assert spark.read.parquet(str(path)).count() == 300_000
