@@ -35,6 +35,8 @@ class Work:
     def write(self, frame: DataFrame, name: str) -> DataFrame:
         """Write ``frame`` as Parquet and return a frame that reads it."""
         frame.write.parquet(f"{self.root}/{name}")
+        # what led to the table is done with: let the cleaner drop its shuffle files
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(frame.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, name: str) -> None:

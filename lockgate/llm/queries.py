@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lockgate.llm import exact_dedup, language, mixing, packing, quality_rules, tokens, toxicity
+from lockgate.llm import exact_dedup, jaccard, language, mixing, packing, quality_rules, tokens, toxicity
 from lockgate.llm.common import Work
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
