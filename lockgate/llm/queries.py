@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lockgate.llm import exact_dedup, jaccard, language, mixing, packing, quality_rules, tokens, toxicity
+from lockgate.llm import exact_dedup, jaccard, language, lm_scoring, mixing, packing, quality_rules, tokens, toxicity
 from lockgate.llm.common import Work
 
 
@@ -21,6 +21,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.learn(docs, labels))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return language.identified(docs, language.learn(docs))
