@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lockgate.llm import exact_dedup, jaccard, language, lm_scoring, mixing, packing, quality_rules, tokens, toxicity
+from lockgate.llm import exact_dedup, jaccard, language, lm_scoring, mixing, packing, quality_rules, suffix_dedup, tokens, toxicity
 from lockgate.llm.common import Work
 
 
@@ -40,6 +40,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "part")
