@@ -2,8 +2,9 @@
 
 Every string of ``length`` bytes has an anchor, its ``GRAM`` bytes of smallest hash; equal
 strings have equal anchors at equal places. Neighbouring strings share their anchor, so a
-document becomes a list of regions, each the strings of one anchor. Regions meet where
-their anchors are equal; anchors that occur once drop out, and regions that are equal as a
+document becomes a list of regions, each the strings of one anchor. Equal regions of one
+chunk of texts are combined at once, so that a line repeated thousands of times sends one
+row per chunk to its anchor. Regions meet where their anchors are equal; anchors that occur once drop out, and regions that are equal as a
 whole keep one head. The strings of the heads that are left are suffixes cut at
 ``length`` bytes. They are sorted deep-shallow: multikey quicksort on eight bytes at a time
 to ``SHALLOW`` words, and the groups with longer common prefixes by blind tries, which
@@ -91,6 +92,16 @@ def _regions(texts: list[bytes], held: list[int], length: int) -> tuple[np.ndarr
     return np.array(held)[which], hashes[anchor].view(np.int64), whole.view(np.int64), place
 
 
+def _known(ids: np.ndarray, key: np.ndarray, whole: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which regions of a chunk equal one of a smaller (id, place) in the same chunk."""
+    by = np.lexsort((place, ids, whole, key))
+    first = np.flatnonzero(np.r_[True, (key[by][1:] != key[by][:-1]) | (whole[by][1:] != whole[by][:-1])])
+    head = by[np.repeat(first, np.diff(np.r_[first, len(by)]))]
+    out = np.zeros(len(by), bool)
+    out[by] = (ids[by] != ids[head]) | (place[by] != place[head])
+    return out
+
+
 def deep_shallow(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row order of the big-endian ``words`` (rows, columns), and a class for equal rows."""
     n, columns = words.shape
@@ -154,10 +165,16 @@ def repeats(strings: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndar
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of regions sorted by anchor, region, id and place: those equal to an earlier one, and
-    heads whose anchor has another region (``open``)."""
+    heads whose anchor has another region (``open``). Known copies pass through."""
+    names = ["key", "id", "place", "open"]
     kept: pa.RecordBatch | None = None  # the last head, whose neighbour is not known yet
     before: int | None = None  # the anchor of the head before it
     for batch in batches:
+        known = batch.filter(batch.column("known"))
+        if known.num_rows:
+            flags = pa.array(np.zeros(known.num_rows, bool))
+            yield pa.RecordBatch.from_arrays([*(known.column(c) for c in names[:3]), flags], names)
+            batch = batch.filter(pa.compute.invert(batch.column("known")))
         if not batch.num_rows:
             continue
         rows = batch if kept is None else pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
@@ -176,15 +193,13 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out[heads[:-1][near[:-1]]] = True
         cut = rows.filter(pa.array(out))
         yield pa.RecordBatch.from_arrays(
-            [cut.column("key"), cut.column("id"), cut.column("place"), pa.array(~copy[out])],
-            ["key", "id", "place", "open"],
+            [*(cut.column(c) for c in names[:3]), pa.array(~copy[out])], names
         )
         kept = rows.slice(last, 1)
         before = int(k[-2]) if len(k) > 1 else before
     if kept is not None and before is not None and kept.column("key")[0].as_py() == before:
         yield pa.RecordBatch.from_arrays(
-            [kept.column("key"), kept.column("id"), kept.column("place"), pa.array([True])],
-            ["key", "id", "place", "open"],
+            [*(kept.column(c) for c in names[:3]), pa.array([True])], names
         )
 
 
@@ -311,18 +326,26 @@ def repeated_spans(docs: DataFrame, length: int = 100, hot: int = 5_000) -> Data
 
     def anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            codes = pa.compute.rank(batch.column("id"), "ascending", tiebreaker="dense").to_numpy()
             for which, key, whole, place in regions(batch.column("text").to_pylist(), length):
                 ids = batch.column("id").take(pa.array(which))
+                known = _known(codes[which], key, whole, place)
+                # copies that are known need not meet anyone: deal them out evenly
+                deal = np.where(known, key ^ (whole + place * 31 + which), key)
                 for a in range(0, len(which), 100_000):
                     cut = slice(a, a + 100_000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[cut]), pa.array(whole[cut]), ids[a : a + 100_000], pa.array(place[cut])],
-                        ["key", "whole", "id", "place"],
+                        [pa.array(x[cut]) for x in (deal, known, key, whole)]
+                        + [ids[a : a + 100_000], pa.array(place[cut])],
+                        ["deal", "known", "key", "whole", "id", "place"],
                     )
 
     named = docs.filter("id is not null")
-    found = named.mapInArrow(anchor, f"key long, whole long, id {kind}, place long")
-    found = found.repartition("key").sortWithinPartitions("key", "whole", "id", "place")
+    found = named.mapInArrow(
+        anchor, f"deal long, known boolean, key long, whole long, id {kind}, place long"
+    )
+    found = found.repartition("deal").drop("deal")
+    found = found.sortWithinPartitions("known", "key", "whole", "id", "place")
     met = work.write(found.mapInArrow(_heads, f"key long, id {kind}, place long, open boolean"), "met")
     heads = met.filter("open")
     many = heads.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot)
