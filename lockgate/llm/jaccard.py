@@ -11,7 +11,8 @@ only decide how much work there is, never which pairs are found.
 Pairs are not made within groups of copies. Each document is first verified against one
 leader, the document of smallest id that shares most of its prefix; what links becomes one
 component. Then all pairs that share enough prefix tokens *and* lie in different
-components are verified. That loses no link between components, and a group of thousands
+components are verified, after parity bitmaps of the sets, a few bits for each shingle,
+have ruled out most: they differ in no more places than the sets do. That loses no link between components, and a group of thousands
 of near copies costs as many pairs as it has members.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. Fewer than five words are one
@@ -202,6 +203,53 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return held.select("a", "b", "text_a", "text_b").mapInArrow(check, f"a {kind}, b {kind}")
 
 
+def _parities(texts: DataFrame, width: int) -> DataFrame:
+    """(id, n, bits): a bitmap of 4 to 8 places a shingle, each the parity of its shingles."""
+    kind = dict(texts.dtypes)["id"]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, bits = [0] * batch.num_rows, [b""] * batch.num_rows
+            for i, own in shingle_sets(batch.column("text").to_pylist(), width):
+                places = 1 << max(6, (4 * len(own) - 1).bit_length())
+                at = (own & np.uint64(places - 1)).astype(np.int64)
+                bits[i] = np.packbits((np.bincount(at, minlength=places) & 1).astype(np.uint8)).tobytes()
+                sizes[i] = len(own)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())], ["id", "n", "bits"]
+            )
+
+    return texts.mapInArrow(fold, f"id {kind}, n long, bits binary")
+
+
+def difference_at_least(a: bytes, b: bytes) -> int:
+    """A lower bound for the symmetric difference of the sets behind two parity bitmaps."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _possible(pairs: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` without those whose bitmaps differ too much to link."""
+    kind = dict(pairs.dtypes)["a"]
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            bits = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), strict=True)
+            apart = np.array([difference_at_least(x, y) for x, y in bits], np.int64)
+            # of sets with similarity s the difference is (1 - s) / (1 + s) of both sizes
+            good = apart * (100 + percent) <= total * (100 - percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    held = pairs.join(parities.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
+    held = held.join(parities.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
+    return held.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(check, f"a {kind}, b {kind}")
+
+
 def near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -255,6 +303,7 @@ def near_copies(
         .withColumn("comp", F.coalesce("comp", "id"))
     )
     placed = work.write(placed, "placed")
+    work.drop("shared")
     split = (
         placed.groupBy("token")
         .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -262,6 +311,7 @@ def near_copies(
         .select("token")
     )
     open_ = work.write(placed.join(split, "token"), "open")
+    work.drop("placed")
     left, right = open_.alias("l"), open_.alias("r")
     pairs = (
         left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.comp") < F.col("r.comp"))
@@ -273,7 +323,9 @@ def near_copies(
         .filter(_plausible("ma", "mb", percent))
         .select("a", "b")
     )
-    pairs = work.write(pairs, "pairs")
+    parities = work.write(_parities(texts, width), "parities")
+    pairs = work.write(_possible(pairs, parities, percent), "pairs")
+    work.drop("open")
     more = work.write(_verified(pairs, texts, width, percent), "more")
     ends = components(links.unionByName(more), work, "all")
     out = sketched.filter("slice is null").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
