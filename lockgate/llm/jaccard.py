@@ -3,14 +3,14 @@
 A document is the set of its 5-word shingles. Two documents link when their sets have a
 Jaccard similarity of ``percent`` / 100 or more. Shingles are ordered from rare to
 frequent, by a count sketch over all documents; documents that link then share a shingle
-among their first n - ceil(0.75 n) + 1. A prefix that is ``l - 1`` longer has to share
+among their first n - ceil(0.75 n) + 1. The sketch grows with the input up to 64 MB. A prefix that is ``l - 1`` longer has to share
 ``l``: every document picks its own ``l`` (1 to 5) from the estimated number of candidates
 in its prefix, and a pair has to share the smaller of the two. The order and the lengths
 only decide how much work there is, never which pairs are found.
 
 Pairs are not made within groups of copies. Each document is first verified against one
-leader, the document of smallest id that shares most of its prefix; what links becomes one
-component. Then all pairs that share enough prefix tokens *and* lie in different
+leader, the document of smallest id that shares most of its prefix, and then against
+documents that share most with all; what links becomes one component. Then all pairs that share enough prefix tokens *and* lie in different
 components are verified, after parity bitmaps of the sets, a few bits for each shingle,
 have ruled out most: they differ in no more places than the sets do. That loses no link between components, and a group of thousands
 of near copies costs as many pairs as it has members.
@@ -23,11 +23,12 @@ Shingles are compared as 58-bit hashes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lockgate.llm.common import Work
@@ -35,8 +36,10 @@ from lockgate.llm.components import components
 from lockgate.llm.rolling import Ranges
 
 CHUNK = 1 << 20
-SKETCH = 1 << 18
+LEADERS = 2  # further rounds of leaders
 SLICES = 64
+LOAD = 32  # shingles that a counter of the sketch holds on average
+SMALLEST, LARGEST = 14, 26  # bits of the sketch: a broadcast of 16 KB to 64 MB
 LOW = np.uint64((1 << 58) - 1)
 
 
@@ -77,24 +80,25 @@ def least_shared(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _sketched(rows: DataFrame, width: int) -> DataFrame:
+def _sketched(rows: DataFrame, width: int, bits: int) -> DataFrame:
     """doc_id and n of each row; rows with a ``slice`` hold counts of the sketch instead."""
     kind = dict(rows.dtypes)["id"]
+    low = np.uint64((1 << bits) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "n", "slice", "counts"]
-        sketch = np.zeros(SKETCH, np.int64)
+        sketch = np.zeros(1 << bits, np.uint32)
         id_type = None
         for batch in batches:
             id_type = batch.column("id").type
             sizes = np.zeros(batch.num_rows, np.int64)
             for i, own in shingle_sets(batch.column("text").to_pylist(), width):
                 sizes[i] = len(own)
-                np.add.at(sketch, own & np.uint64(SKETCH - 1), 1)
+                np.add.at(sketch, own & low, 1)
             nulls = [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes), *nulls], names)
         if id_type is not None:
-            parts = [p.tobytes() for p in np.split(sketch, SLICES)]
+            parts = [zlib.compress(p.tobytes(), 1) for p in np.split(sketch, SLICES)]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(SLICES, id_type), pa.nulls(SLICES, pa.int64()),
                  pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names)
@@ -102,21 +106,39 @@ def _sketched(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(count, f"id {kind}, n long, slice int, counts binary")
 
 
-def _added(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(b, np.int64) for b in rows.column("counts").to_pylist())
-    return pa.table({"slice": rows.column("slice")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+def _classes(sketched: DataFrame, bits: int) -> np.ndarray:
+    """For each counter the power of two of how far it is above the average."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros((1 << bits) // SLICES)
+        for blob in rows.column("counts"):
+            total += np.frombuffer(zlib.decompress(blob.as_py()), np.uint32)
+        # what a counter holds on average says nothing about its heaviest shingle
+        over = total - total.mean() - 4 * total.mean() ** 0.5
+        found = np.log2(np.maximum(over, 1)).astype(np.uint8)
+        blob = pa.array([zlib.compress(found.tobytes(), 1)], pa.binary())
+        return pa.table({"slice": rows.column("slice")[:1], "classes": blob})
+
+    slices = sketched.filter("slice is not null").select("slice", "counts")
+    classes = np.zeros((SLICES, (1 << bits) // SLICES), np.uint8)
+    for r in slices.groupBy("slice").applyInArrow(add, "slice int, classes binary").collect():
+        classes[r.slice] = np.frombuffer(zlib.decompress(r.classes), np.uint8)
+    return classes.ravel()
 
 
 def _prefixes(rows: DataFrame, classes: np.ndarray, width: int, percent: int) -> DataFrame:
     """(token, id, meta) of each document's prefix; meta is n * 8 + the matches asked for."""
     kind = dict(rows.dtypes)["id"]
+    shared = rows.sparkSession.sparkContext.broadcast(classes)
+    low = np.uint64(len(classes) - 1)
     guess = 2.0 ** np.arange(64)
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = shared.value
         for batch in batches:
             tokens, places, metas = [], [], []
             for i, own in shingle_sets(batch.column("text").to_pylist(), width):
-                rank = classes[own & np.uint64(SKETCH - 1)]
+                rank = classes[own & low].astype(np.uint64)
                 own = np.sort((rank << np.uint64(58)) | own)
                 n = len(own)
                 base = n - least_shared(n, percent) + 1
@@ -250,6 +272,32 @@ def _possible(pairs: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
     return held.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(check, f"a {kind}, b {kind}")
 
 
+def _open(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """(token, id, meta, comp) of the tokens that occur in several components."""
+    placed = rows.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    token = Window.partitionBy("token")
+    placed = placed.withColumn("low", F.min("comp").over(token)).withColumn("high", F.max("comp").over(token))
+    return placed.filter("low <> high").select("token", "id", "meta", "comp")
+
+
+def _popular(rows: DataFrame, percent: int) -> DataFrame:
+    """For each document a leader (a, b) in another component: of the documents that
+    share most tokens with all others, the one that it shares most with."""
+    token = Window.partitionBy("token")
+    fame = rows.withColumn("df", F.count("*").over(token)).groupBy("id").agg(F.sum("df").alias("fame"))
+    first = F.first(F.struct("id", "meta", "comp")).over(token.orderBy(F.col("fame").desc(), "id"))
+    votes = (
+        rows.join(fame, "id")
+        .withColumn("lead", first)
+        .filter("comp <> lead.comp")
+        .groupBy("id", "meta", F.col("lead.id").alias("leader"), F.col("lead.meta").alias("leader_meta"))
+        .agg(F.count("*").alias("shared"))
+        .filter(_plausible("meta", "leader_meta", percent))
+    )
+    best = votes.groupBy("id").agg(F.max(F.struct("shared", "leader")).alias("best"))
+    return best.select(F.col("id").alias("a"), F.col("best.leader").alias("b"))
+
+
 def near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -263,16 +311,11 @@ def near_copies(
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     )
-    sketched = work.write(_sketched(rows, width), "sketch")
-    slices = sketched.filter("slice is not null").select("slice", "counts")
-    summed = slices.groupBy("slice").applyInArrow(_added, "slice int, counts binary").collect()
-    counts = np.zeros((SLICES, SKETCH // SLICES))
-    for r in summed:
-        counts[r.slice] = np.frombuffer(r.counts, np.int64)
-    counts = counts.ravel()
-    # a bucket's count less what it holds on average is a guess at its heaviest shingle
-    over = counts - counts.mean() - 4 * counts.mean() ** 0.5
-    classes = np.log2(np.maximum(over, 1)).astype(np.uint64)
+    # a shingle for about every six bytes
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(LARGEST, max(SMALLEST, (size // (6 * LOAD)).bit_length()))
+    sketched = work.write(_sketched(rows, width, bits), "sketch")
+    classes = _classes(sketched, bits)
 
     named = rows.filter("id is not null")
     prefixes = _prefixes(named, classes, width, percent)
@@ -296,22 +339,23 @@ def near_copies(
     links = work.write(_verified(stars, texts, width, percent), "links")
     comps = components(links, work, "star")
 
-    # what is left: pairs with enough shared tokens in different components
-    placed = (
-        shared.select("token", "id", "meta")
-        .join(comps, "id", "left")
-        .withColumn("comp", F.coalesce("comp", "id"))
-    )
-    placed = work.write(placed, "placed")
+    parities = work.write(_parities(texts, width), "parities")
+
+    # more leaders: the documents that share most tokens of those left
+    open_ = work.write(_open(shared.select("token", "id", "meta"), comps), "open0")
     work.drop("shared")
-    split = (
-        placed.groupBy("token")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        .filter("low <> high")
-        .select("token")
-    )
-    open_ = work.write(placed.join(split, "token"), "open")
-    work.drop("placed")
+    for turn in range(1, LEADERS + 1):
+        stars = work.write(_popular(open_, percent), f"popular{turn}")
+        stars = work.write(_possible(stars, parities, percent), f"near{turn}")
+        found = work.write(_verified(stars, texts, width, percent), f"links{turn}")
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        comps = components(links, work, f"comps{turn}")
+        open_ = work.write(_open(open_.drop("comp"), comps), f"open{turn}")
+        work.drop(f"open{turn - 1}")
+
+    # what is left: pairs with enough shared tokens in different components
     left, right = open_.alias("l"), open_.alias("r")
     pairs = (
         left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.comp") < F.col("r.comp"))
@@ -323,11 +367,9 @@ def near_copies(
         .filter(_plausible("ma", "mb", percent))
         .select("a", "b")
     )
-    parities = work.write(_parities(texts, width), "parities")
     pairs = work.write(_possible(pairs, parities, percent), "pairs")
-    work.drop("open")
     more = work.write(_verified(pairs, texts, width, percent), "more")
-    ends = components(links.unionByName(more), work, "all")
+    ends = comps if more.isEmpty() else components(links.unionByName(more), work, "all")
     out = sketched.filter("slice is null").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
     return out.join(ends.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id")
