@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lockgate.llm.common import Work, lowered, remainder, words
+from lockgate.llm.tokens import runs
 
 SPAN = 24
 MEMORY = 300_000
@@ -255,7 +256,8 @@ def identified(
             letters = batch.column("letters").to_numpy(zero_copy_only=False)
             names, scores = ["und"] * len(letters), np.zeros(len(letters))
             if labeller and len(letters):
-                logs = labeller.documents(batch.column("text").to_pylist())
+                texts = batch.column("text").to_pylist()
+                logs = np.vstack([labeller.documents(texts[run]) for run in runs(texts)])
                 p = np.exp(logs - logs.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
                 best = p.argmax(axis=1)

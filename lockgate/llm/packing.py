@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lockgate.llm.common import Work
-from lockgate.llm.tokens import Remembered, segments_of
+from lockgate.llm.tokens import Remembered, runs, segments_of
+
+LATIN = "\u024f"
 
 _tokenizers: dict = {}
 
@@ -39,13 +41,42 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
-def token_bytes(texts: list[str], path: str, end: int) -> list[bytes]:
-    """Little-endian 32-bit ids of each text, the end token included."""
+def _ranked(ranks: str, pattern: str):
+    if ranks not in _tokenizers:
+        import base64
+
+        import tiktoken
+
+        with open(ranks, "rb") as lines:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        _tokenizers[ranks] = tiktoken.Encoding(
+            "ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={}
+        )
+    return _tokenizers[ranks]
+
+
+def token_bytes(
+    texts: list[str], path: str, end: int, ranks: tuple[str, str] | None = None
+) -> list[bytes]:
+    """Little-endian 32-bit ids of each text, the end token included.
+
+    ``ranks`` names a file of ranks for the same vocabulary and its pattern; Latin
+    segments without the sign ``<|`` of special strings are then encoded by it.
+    """
     tokenizer = _tokenizer(path)
 
     def ids(part: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch(part, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        out: list = [None] * len(part)
+        if ranks:
+            ordinary = _ranked(*ranks).encode_ordinary
+            for i, s in enumerate(part):
+                if s.isascii() and "<|" not in s or s and max(s) <= LATIN and "<|" not in s:
+                    out[i] = np.array(ordinary(s), "<u4").tobytes()
+        rest = [i for i, x in enumerate(out) if x is None]
+        found = tokenizer.encode_batch([part[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found, strict=True):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
 
     memory = Remembered(path, ids)
     cut = []
@@ -141,6 +172,7 @@ def pack(
     end: int = 2,
     full_share: float = 0.995,
     fan_in: int = 8,
+    ranks: tuple[str, str] | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     work = Work(docs.sparkSession, "pack")
@@ -152,8 +184,12 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = token_bytes(batch.column("text").to_pylist(), path, end)
-            split = [pieces_of(x, capacity) for x in found]
+            texts = batch.column("text").to_pylist()
+            split = [
+                pieces_of(x, capacity)
+                for run in runs(texts)
+                for x in token_bytes(texts[run], path, end, ranks)
+            ]
             counts = np.fromiter(map(len, split), np.int64, len(split))
             flat = np.array([p for s in split for p in s], np.int64).reshape(-1, 4)
             ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(split)), counts)))
@@ -164,14 +200,13 @@ def pack(
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32)), one)
             yield pa.RecordBatch.from_arrays([pa.array(flat[:, 2]), lists], ["fill", "members"])
 
-    items = rows.mapInArrow(cut, schema)
     full = int(capacity * full_share)
     out = f"fill long, done boolean, {schema.split(', ', 1)[1]}"
     finished = []
     width, level = 0, 0
+    first = _packer(capacity, full, False)
+    bins = rows.mapInArrow(lambda batches: first(cut(batches)), out)
     while True:
-        # pieces of the full capacity pass through: they fill their bins alone
-        bins = items.mapInArrow(_packer(capacity, full, width == 1), out)
         bins = work.write(bins.withColumn("place", F.spark_partition_id()), f"round{level}")
         finished.append(bins.filter("done").select(F.lit(level).alias("level"), "members"))
         if width == 1:
@@ -184,11 +219,11 @@ def pack(
             width += 1
         width = -(-width // fan_in)
         items = left.repartition(width, F.floor(F.col("place") / fan_in)).select("fill", "members")
+        bins = items.mapInArrow(_packer(capacity, full, width == 1), out)
         level += 1
     bins = finished[0]
     for more in finished[1:]:
         bins = bins.unionByName(more)
-    lengths = F.transform("members", lambda m: m.length)
     placed = bins.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn(
         "offsets",
         F.expr(
@@ -196,7 +231,6 @@ def pack(
             " (s, m) -> named_struct('at', s.at + m.length, 'all', array_append(s.all, s.at)), s -> s.all)"
         ),
     )
-    del lengths
     zipped = F.explode(F.arrays_zip("members", "offsets")).alias("z")
     return placed.select("sequence_id", zipped).select(
         "z.members.*", "sequence_id", F.col("z.offsets").alias("offset")

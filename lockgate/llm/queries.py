@@ -11,6 +11,10 @@ from lockgate.llm import exact_dedup, jaccard, language, lm_scoring, mixing, pac
 from lockgate.llm.common import Work
 
 
+#: Ranks of the same vocabulary, and the pattern that cuts texts for both.
+BYTE_RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -32,7 +36,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), ranks=BYTE_RANKS)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

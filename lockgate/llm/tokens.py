@@ -41,6 +41,18 @@ def parts(segments: list[str], most: int = PART_BYTES) -> Iterator[list[str]]:
         yield part
 
 
+def runs(texts: list[str], most: int = PART_BYTES) -> Iterator[slice]:
+    """Slices of ``texts`` that hold about ``most`` characters each, at least one text."""
+    start = held = 0
+    for i, text in enumerate(texts, 1):
+        held += len(text)
+        if held >= most:
+            yield slice(start, i)
+            start, held = i, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def segments_of(text: str) -> list[str]:
     """The segments of ``text``; all but the first have lost the space at the cut."""
     if "  " not in text and not text.startswith(" ") and not text.endswith(" "):
@@ -101,7 +113,8 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = piece_counts(batch.column("text").to_pylist(), path)
+            texts = batch.column("text").to_pylist()
+            counts = [n for run in runs(texts) for n in piece_counts(texts[run], path)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],
