@@ -36,7 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1,024 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    ranks = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), ranks=ranks)
 
 
 STAGES = [
