@@ -634,6 +634,7 @@ def oracle() -> dict[str, str]:
         # aggregation and deduplication
         "deduplicate": v(f"SELECT {BRONZE_COLUMNS} FROM deduplicated"),
         "gold_daily_zone": v("SELECT * FROM gold"),
+        "incremental_load": v("SELECT * FROM gold"),
         # history and trends
         "history_record": v(
             f"SELECT {RESULT_COLUMNS}, run_id, recorded_at FROM {HISTORY}"

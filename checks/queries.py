@@ -205,6 +205,16 @@ def backfill_one_day(spark, sf_dir):
     return read_layer(spark, path, L.GOLD_LAYOUT)
 
 
+def incremental_load(spark, sf_dir):
+    """Two loads of different days, neither with a window: all days stay."""
+    path = scratch_path(spark, "incremental")
+    mart = gold(spark, sf_dir, sort=False)
+    early = F.col(L.PARTITION) <= F.lit(DAY)
+    write_layer(mart.filter(early), path)
+    write_layer(mart.filter(~early), path)
+    return read_layer(spark, path, L.GOLD_LAYOUT)
+
+
 def stale_partitions(spark, sf_dir):
     """A rerun of three days that has rows for one of them only."""
     path = scratch_path(spark, "stale")
@@ -574,6 +584,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flat_overwrite": flat_overwrite,
         "backfill_one_day": backfill_one_day,
         "stale_partitions": stale_partitions,
+        "incremental_load": incremental_load,
         "publish_guard": publish_guard,
         "normalize": lambda spark, sf_dir: normalize(trips(spark, sf_dir)),
         "trip_id": trip_id,

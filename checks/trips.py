@@ -58,11 +58,6 @@ def expressions(ts: str, period: int) -> list[str]:
 def trips(spark: SparkSession, sf_dir: str, *, period: int = CLEAN_FEED) -> DataFrame:
     """The view in Spark; times are ``timestamp_ntz``."""
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    # A small table may come as one row group, which one task would have to read
-    # and process alone. Tables with work for every core are left as they are.
-    cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores, "l_orderkey", "l_linenumber")
     rows = rows.selectExpr("*", f"{HASH} AS h")
     # Built as one struct per row and then repeated: filters on trip columns
     # stay above the generator instead of being inlined into its expressions.

@@ -163,14 +163,18 @@ def drift_summary(compared: DataFrame) -> DataFrame:
 
 
 class SchemaDriftError(RuntimeError):
-    """An extract would not read as declared. ``drift`` holds all differences."""
+    """An extract would not read as declared.
 
-    def __init__(self, named: list[str], blocking: int, advisory: int, drift: DataFrame) -> None:
-        more = ", ..." * (blocking > len(named))
+    ``drift`` holds all differences and ``blocking`` those that block; the message
+    shows the first of them.
+    """
+
+    def __init__(self, shown: list[str], blocking: int, advisory: int, drift: DataFrame) -> None:
+        more = f", and {blocking - len(shown)} more" * (blocking > len(shown))
         super().__init__(
-            f"schema drift: {', '.join(named)}{more} ({blocking} blocking, {advisory} advisory)"
+            f"schema drift: {', '.join(shown)}{more} ({blocking} blocking, {advisory} advisory)"
         )
-        self.named, self.drift = named, drift
+        self.drift, self.blocking = drift, drift.filter("blocking")
 
 
 def enforce_schema(rows: DataFrame, *, strict: bool = True) -> bool:
@@ -183,8 +187,8 @@ def enforce_schema(rows: DataFrame, *, strict: bool = True) -> bool:
     for row in shown:
         level = logging.ERROR if row.blocking else logging.WARNING
         log.log(level, "schema drift in %s: %s", row.extract or "the source", row.summary)
-    named = [f"{row.kind}[{row.column}]" for row in shown if row.blocking]
-    if named and strict:
+    first = [f"{row.kind}[{row.column}]" for row in shown if row.blocking]
+    if first and strict:
         counts = rows.agg(F.count_if("blocking").alias("b"), F.count(F.lit(1)).alias("n")).first()
-        raise SchemaDriftError(named, counts.b, counts.n - counts.b, rows)
-    return not named
+        raise SchemaDriftError(first, counts.b, counts.n - counts.b, rows)
+    return not first

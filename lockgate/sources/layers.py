@@ -108,14 +108,19 @@ def write_layer(
     since: date | None = None,
     until: date | None = None,
     empty: bool = False,
+    replace_all: bool = False,
 ) -> None:
     """Replaces the partitions a run answers for, and no others.
 
-    Dynamic overwrite replaces the partitions present in ``df``. A partition
-    inside the run's window (or anywhere, for a run without one) that ``df``
-    no longer has would keep its old rows; it is removed afterwards. Such a
-    partition is known by still holding a file it held before the write. Only
-    directory names and one file name each pass through the driver.
+    Dynamic overwrite replaces the partitions present in ``df``. A run without a
+    window answers for the days it brings, so loads of different days add up. A
+    run with a window answers for all of it: a partition inside that ``df`` no
+    longer has is removed. An open end reaches as far as the data, and
+    ``replace_all`` makes a run answer for every partition there is. Removal
+    follows the write, so a run that dies between the two leaves the old
+    partitions beside the new ones, and a rerun removes them. Such a partition is
+    known by still holding a file it held before the write. Only directory names
+    and one file name each pass through the driver.
 
     ``empty`` says that ``df`` is known to have no rows, which saves the scan.
     """
@@ -124,7 +129,7 @@ def write_layer(
         df.write.mode(mode).parquet(path)
         return
     before = {}
-    if mode == "overwrite":
+    if mode == "overwrite" and (since or until or replace_all):
         before = _marks(spark, path, len(partition_by), since, until)
     if not empty:
         writer = _arranged(df, partition_by).write.mode(mode).partitionBy(*partition_by)

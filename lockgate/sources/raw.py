@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,11 +69,16 @@ def _layout_reader(fmt: str):
         def columns(extract: str) -> list[dict]:
             location = extract.replace("s3a://", "s3://", 1)
             if "://" not in location:
-                location = "file://" + location.removeprefix("file:")
+                location = "file://" + quote(location.removeprefix("file:"))
             system, path = arrow_fs.FileSystem.from_uri(location)
             if system.get_file_info(path).type == arrow_fs.FileType.Directory:
                 inside = system.get_file_info(arrow_fs.FileSelector(path, recursive=True))
-                files = [i.path for i in inside if i.is_file and i.base_name[0] not in "._"]
+                below = len(path.rstrip("/")) + 1
+                files = [
+                    i.path
+                    for i in inside
+                    if i.is_file and not any(p[:1] in "._" for p in i.path[below:].split("/"))
+                ]
                 path = min(files)
             if fmt == "csv":
                 with system.open_input_stream(path) as stream:

@@ -37,10 +37,17 @@ def test_days_of_the_window_without_rows_do_not_keep_old_ones(spark, tmp_path):
     assert contents(spark, path) == {(2, 2), *((d.day, 1) for d in DAYS[3:]), (None, 1)}
 
 
-def test_a_run_without_a_window_answers_for_every_day(spark, tmp_path):
+def test_a_run_without_a_window_leaves_other_days_alone(spark, tmp_path):
     path = tmp_path / "t"
-    write_layer(frame(spark, [*DAYS, None]), str(path))
+    write_layer(frame(spark, DAYS), str(path))
     write_layer(frame(spark, DAYS[:2], 2), str(path))
+    assert contents(spark, path) == {(1, 2), (2, 2), *((d.day, 1) for d in DAYS[2:])}
+
+
+def test_replacing_all_removes_every_other_day(spark, tmp_path):
+    path = tmp_path / "t"
+    write_layer(frame(spark, [*DAYS, None]), str(path))
+    write_layer(frame(spark, DAYS[:2], 2), str(path), replace_all=True)
     assert contents(spark, path) == {(1, 2), (2, 2)}
 
 

@@ -4,11 +4,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from checks.compare import difference, duck
+from checks.oracle import oracle
+from checks.queries import queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
-# Whole runs, layout variants and histories write many small files.
-SLOW = ("run_", "backfill_", "history_", "schema_", "stored_", "scan_", "stage_counts", "publish_")
+QUERIES, SQL = queries(), oracle()
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +16,7 @@ def connection():
     return duck(SF)
 
 
-@pytest.mark.parametrize(
-    "name",
-    [pytest.param(n, marks=pytest.mark.slow) if n.startswith(SLOW) else n for n in QUERIES],
-)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_sql(spark, connection, name):
     assert difference(QUERIES[name](spark, SF), connection, SQL[name]) is None
 
