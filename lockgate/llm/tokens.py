@@ -22,7 +22,7 @@ PART_BYTES = 1 << 20
 MEMORY = 400_000
 LONG = 400  # longer segments are encoded but not remembered
 #: A segment: the spaces before a word but for the first, which the cut takes, and the word.
-_SEGMENTS = re.compile(r"(?:^ *| +)[^ ]+(?: +$)?|^ +$")
+_SEGMENTS = re.compile(r"(?:\A *| +)[^ ]+(?: +\Z)?|\A +\Z")
 
 _memories: dict[str, dict] = {}
 
