@@ -441,6 +441,15 @@ DRIFT_SUMMARY = """SELECT CAST(d AS INT) AS day, b = 0 AS conforms, CAST(19 AS I
                  (6, 19, 0, 3), (7, 19, 1, 0)) v(d, n, b, a)
     WHERE (SELECT count(*) FROM lineitem) > 0"""
 
+# 2^-30 and 2^44 times whole numbers: sums of whole numbers are exact.
+EXACT_SUMS = """SELECT l_returnflag, CAST(n AS DOUBLE) * power(2, -30) AS tiny_sum,
+    CAST(odd AS DOUBLE) * power(2, 44) + CAST(n - odd AS DOUBLE) * power(2, -30) AS wide_sum,
+    odds > 0 AS sum_is_nan
+    FROM (SELECT l_returnflag, SUM(CAST(floor(l_quantity) AS BIGINT)) AS n,
+            SUM(CASE WHEN l_linenumber = 7 THEN CAST(floor(l_quantity) AS BIGINT) ELSE 0 END) AS odd,
+            SUM(CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) AS odds
+          FROM lineitem GROUP BY l_returnflag)"""
+
 RAW_COLUMNS = ", ".join(name for name, _ in LAYOUT)
 BRONZE_COLUMNS = ", ".join([*RENAMED.values(), "store_and_fwd_flag", "trip_id", "pickup_date"])
 SILVER_COLUMNS = BRONZE_COLUMNS + (
@@ -473,7 +482,7 @@ def oracle() -> dict[str, str]:
       dirty_silver_in AS ({enriched('dirty_distinct')}),
       dirty_silver AS (SELECT * FROM dirty_silver_in WHERE {holds(SILVER)})"""
     dirty = lambda select: v("SELECT 1").replace("\n    SELECT 1", f"{dirty_layers} {select}")
-    return {
+    found = {
         # sources and sinks
         "scan_declared": v(
             f"SELECT {RAW_COLUMNS.replace('airport_fee', '')}"
@@ -661,3 +670,7 @@ def oracle() -> dict[str, str]:
         "backfill_idempotent": v("SELECT * FROM gold"),
         "stage_counts": _stage_counts(),
     }
+    found["scan_mixed_files"] = found["scan_declared"]
+    found["schema_drift_mixed_files"] = f"SELECT * EXCLUDE (day) FROM ({found['schema_drift']})"
+    found["exact_sums"] = EXACT_SUMS
+    return found

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.trips import CLEAN_FEED, DIRTY_FEED, trips
 from lockgate import layouts as L
-from lockgate.functions.expressions import ratio, utc_clock, utc_instant
+from lockgate.functions.expressions import exact_sum, ratio, utc_clock, utc_instant
 from lockgate.operators import drift, gate, history, report, trend
 from lockgate.operators.evaluate import FAILURES, evaluate, split
 from lockgate.operators.mart import daily_zone_metrics
@@ -144,13 +144,25 @@ def _day_of(paths: dict[str, int]):
 
 def _drift_by_day(rows: DataFrame, paths: dict[str, int]) -> DataFrame:
     named = rows.withColumnRenamed("column", "column_name")
-    return named.withColumn("day", _day_of(paths)).drop("extract")
+    return named.withColumn("day", _day_of(paths)).drop("extract", "files")
+
+
+def mixed_extract(spark, sf_dir) -> str:
+    """The seven layouts as files of one directory, whose name has a space."""
+    path = scratch_path(spark, "all in one")
+    for daily in daily_extracts(spark, sf_dir):
+        spark.read.parquet(daily).write.mode("append").parquet(path)
+    return path
 
 
 def scan_declared(spark, sf_dir):
     return utc_times(read_raw(spark, list(daily_extracts(spark, sf_dir))))
 
 
+def scan_mixed_files(spark, sf_dir):
+    return utc_times(read_raw(spark, mixed_extract(spark, sf_dir)))
+
+
 def scan_csv_declared(spark, sf_dir):
     return utc_times(read_raw(spark, exported(spark, sf_dir, fmt="csv"), fmt="csv"))
 
@@ -170,6 +182,12 @@ def schema_drift(spark, sf_dir):
     return _drift_by_day(rows, paths)
 
 
+def schema_drift_mixed_files(spark, sf_dir):
+    layouts = stored_layouts(spark, mixed_extract(spark, sf_dir))
+    rows = drift.drift_rows(drift.with_drift(layouts))
+    return rows.withColumnRenamed("column", "column_name").drop("extract", "files")
+
+
 def schema_drift_names_only(spark, sf_dir):
     paths = daily_extracts(spark, sf_dir, fmt="csv")
     layouts = stored_layouts(spark, list(paths), fmt="csv")
@@ -266,6 +284,19 @@ def safe_divide(spark, sf_dir):
     )
 
 
+def exact_sums(spark, sf_dir):
+    """Sums of tiny values, of tiny and huge ones together, and with a NaN."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    number = F.floor("l_quantity").cast("double")
+    tiny, huge = number * F.lit(2.0**-30), number * F.lit(2.0**44)
+    odd = F.col("l_linenumber") == 7
+    return rows.groupBy("l_returnflag").agg(
+        exact_sum(tiny).alias("tiny_sum"),
+        exact_sum(F.when(odd, huge).otherwise(tiny)).alias("wide_sum"),
+        F.isnan(exact_sum(F.when(odd, F.lit("NaN").cast("double")).otherwise(tiny))).alias("sum_is_nan"),
+    )
+
+
 def calendar(spark, sf_dir):
     names = ["pickup_at", L.PARTITION, "pickup_hour", "pickup_day_of_week", "time_of_day"]
     return enrich(normalize(trips(spark, sf_dir))).select(*names)
@@ -576,9 +607,11 @@ def stage_counts(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_declared": scan_declared,
+        "scan_mixed_files": scan_mixed_files,
         "scan_csv_declared": scan_csv_declared,
         "stored_schema": stored_schema,
         "schema_drift": schema_drift,
+        "schema_drift_mixed_files": schema_drift_mixed_files,
         "schema_drift_names_only": schema_drift_names_only,
         "schema_drift_summary": schema_drift_summary,
         "flat_overwrite": flat_overwrite,
@@ -591,6 +624,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pickup_date": pickup_date,
         "clean": shaped,
         "safe_divide": safe_divide,
+        "exact_sums": exact_sums,
         "enrich": lambda spark, sf_dir: enrich(bronze_halves(spark, sf_dir)[0]),
         "calendar": calendar,
         "airport_flag": airport_flag,

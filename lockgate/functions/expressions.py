@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 
 from lockgate.layouts import DAY_PARTS
 
-#: Scale used for exact sums; six places hold every money and distance unit.
-EXACT = "decimal(18,6)"
+#: Decimal places that exact sums add as text; holds values below 1e16.
+TEXT = "decimal(28,12)"
+#: Type of the whole parts of exact sums; holds 10^14 of the largest of them.
+PART = "decimal(24,0)"
 
 
 def _epoch() -> Column:
@@ -62,16 +64,37 @@ def day_part(hour: Column) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
-    """A sum that does not depend on the order in which rows arrive.
-
-    Groups holding a value no decimal can carry (NaN, infinity, 1e12 and up)
-    fall back to the floating sum, so that such a value shows up in the result
-    rather than being skipped.
+    """A sum that does not depend on the order in which rows arrive and skips no digit.
+
+    Every double is cut in two: the first twelve places of its decimal text, added as a
+    decimal, and the rest, which is zero for ordinary money and distances. The rest is cut,
+    without rounding, into whole multiples of 2^40, 2^-20 and 2^-80, added as decimals too.
+    What lies below 2^-80 (8e-25) is added as a double, and so are values from 2^102 (5e30)
+    on, infinities and NaN: they show up in the result rather than being skipped. All values
+    go the same way, whatever else their group holds.
     """
-    exact = value.try_cast(EXACT)
-    return F.when(F.count(exact) == F.count(value), F.sum(exact).cast("double")).otherwise(
-        F.sum(value)
-    )
+    value = value.cast("double")
+    text = F.coalesce(value.try_cast(TEXT), F.lit(0).cast(TEXT))
+    far = ~(F.abs(value) < F.lit(2.0**102))
+    near = F.when(far, F.lit(0.0)).otherwise(value - text.cast("double"))
+
+    def whole(x: Column) -> Column:
+        return x.cast("bigint")  # towards zero, so the rest keeps the sign and is exact
+
+    high = whole(near / F.lit(2.0**40))
+    rest = near - high.cast("double") * F.lit(2.0**40)
+    middle = whole(rest * F.lit(2.0**20))
+    rest = rest * F.lit(2.0**20) - middle.cast("double")
+    low = whole(rest * F.lit(2.0**60))
+    rest = rest * F.lit(2.0**60) - low.cast("double")
+
+    high, middle, low = (F.sum(part.cast(PART)) for part in (high, middle, low))
+    joined = F.try_add(F.try_multiply(high, F.lit(2**60).cast("decimal(20,0)")), middle)
+    loose = high.cast("double") * F.lit(2.0**60) + middle.cast("double")
+    upper = F.coalesce(joined.cast("double"), loose) * F.lit(2.0**-20)
+    lower = (low.cast("double") + F.sum(rest)) * F.lit(2.0**-80)
+    beyond = F.coalesce(F.sum(F.when(far, value)), F.lit(0.0))
+    return F.sum(text).cast("double") + (upper + lower + beyond)
 
 
 def exact_mean(value: Column) -> Column:

@@ -46,6 +46,9 @@ RENAMES = {
     "DOLocationID": "do_location_id",
 }
 
+#: The stored column that a window of dates is about.
+RAW_PICKUP = "tpep_pickup_datetime"
+
 TRIP_KEY = (
     "vendor_id",
     "pickup_at",

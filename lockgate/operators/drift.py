@@ -1,9 +1,8 @@
 """Stored layouts against a declared one.
 
-Works on the one-row-per-extract relation of
-:func:`lockgate.sources.raw.stored_layouts`. The declared layout is a constant
-array, so comparing any number of extracts is a projection: no join, no
-shuffle.
+Works on the relation of :func:`lockgate.sources.raw.stored_layouts`: one row for each
+layout that an extract holds. The declared layout is a constant array, so comparing any
+number of layouts is a projection; the reports then add up an extract's layouts.
 """
 
 from __future__ import annotations
@@ -48,7 +47,7 @@ _DRIFT = "struct<column: string, kind: string, expected: string, actual: string>
 def layout_of(spark: SparkSession, schema: T.StructType, extract: str = "") -> DataFrame:
     """A schema at hand, in the shape of ``stored_layouts``."""
     columns = [(f.name, f.dataType.simpleString()) for f in schema]
-    return spark.createDataFrame([(extract, columns)], LAYOUT_FIELDS)
+    return spark.createDataFrame([(extract, columns, 1)], LAYOUT_FIELDS)
 
 
 def _entry(column, kind, expected, actual) -> Column:
@@ -63,7 +62,7 @@ def with_drift(
     check_types: bool = True,
     case_sensitive: bool = False,
 ) -> DataFrame:
-    """Adds ``drift``, an array of differences, to every extract.
+    """Adds ``drift``, an array of differences, to every layout.
 
     Column order does not matter. Names match as Spark resolves them, without
     regard to case, unless ``case_sensitive``. With ``check_types`` off only
@@ -140,19 +139,34 @@ def drift_line() -> Column:
 
 
 def drift_rows(compared: DataFrame) -> DataFrame:
-    """One row per difference, with a verdict and a line of text."""
-    rows = compared.select("extract", F.posexplode("drift").alias("position", "d"))
+    """One row per difference, with the number of files that show it, a verdict and a line.
+
+    A difference that several layouts of an extract share is one row, at its first position.
+    """
+    rows = compared.select("extract", "files", F.posexplode("drift").alias("position", "d"))
     return (
-        rows.select("extract", "position", "d.*")
+        rows.groupBy("extract", "d")
+        .agg(F.min("position").alias("position"), F.sum("files").alias("files"))
+        .select("extract", "position", "d.*", "files")
         .withColumn("blocking", _blocks(F.col("kind")))
         .withColumn("summary", drift_line())
     )
 
 
 def drift_summary(compared: DataFrame) -> DataFrame:
-    """One row per extract, conforming ones included, with a JSON record."""
+    """One row per extract, conforming ones included, with a JSON record.
+
+    An extract of several layouts has the differences of all of them, and the stored
+    columns of the widest.
+    """
+    merged = compared.groupBy("extract").agg(
+        F.first("declared_columns").alias("declared_columns"),
+        F.max("stored_columns").alias("stored_columns"),
+        F.first("types_checked").alias("types_checked"),
+        F.array_distinct(F.flatten(F.sort_array(F.collect_set("drift")))).alias("drift"),
+    )
     blocking = F.size(F.filter("drift", lambda d: _blocks(d["kind"])))
-    counted = compared.withColumns(
+    counted = merged.withColumns(
         {"blocking_count": blocking, "advisory_count": F.size("drift") - blocking}
     ).withColumn("conforms", F.col("blocking_count") == 0)
     names = ["conforms", "declared_columns", "stored_columns", "types_checked"]

@@ -13,6 +13,7 @@ from lockgate.operators.drift import (
     layout_of,
     with_drift,
 )
+from lockgate.operators.trips import normalize, picked_up_between
 from lockgate.sources.raw import conform, export, read_raw, stored_layouts, stored_schema
 from lockgate.sources.storage import scratch_path, stage_table
 
@@ -93,11 +94,52 @@ def test_csv_times_without_a_zone_are_utc(spark, conf, tmp_path):
 def test_csv_files_with_other_column_orders_are_not_mixed_up(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,amount\n1,2.5\n")
     (tmp_path / "b.csv").write_text("amount,id\n3.5,2\n")
-    with pytest.raises(Exception, match="header"):
-        read_raw(spark, str(tmp_path), fmt="csv", declared=SMALL).collect()
+    (tmp_path / "c.csv").write_text("")
     each = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
-    read = read_raw(spark, each, fmt="csv", declared=SMALL)
-    assert {(r.id, r.amount) for r in read.collect()} == {(1, 2.5), (2, 3.5)}
+    for paths in (str(tmp_path), each):
+        read = read_raw(spark, paths, fmt="csv", declared=SMALL)
+        assert {(r.id, r.amount) for r in read.collect()} == {(1, 2.5), (2, 3.5)}
+
+
+def test_files_of_one_extract_may_differ(spark, tmp_path):
+    path = str(tmp_path / "one extract")
+    parts = [
+        small(spark),
+        small(spark, (2, MOMENT, 4.0, "n")).drop("amount"),
+        small(spark, (3, MOMENT, 4.0, "n")).withColumn("amount", F.lit("5.5")),
+    ]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    parts[0].write.parquet(f"{path}/_temporary/0")
+    read = read_raw(spark, path, declared=SMALL)
+    assert {(r.id, r.amount) for r in read.collect()} == {(1, 2.5), (2, None), (3, 5.5)}
+    compared = with_drift(stored_layouts(spark, path), SMALL)
+    rows = drift_rows(compared).orderBy("kind").collect()
+    assert [(r.kind, r.column, r.files) for r in rows] == [("mismatched", "amount", 1), ("missing", "amount", 1)]
+    (summary,) = drift_summary(compared).collect()
+    assert (summary.blocking_count, summary.stored_columns) == (2, 4)
+
+
+def test_an_extract_without_files_lacks_every_column(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    rows = drift_rows(with_drift(stored_layouts(spark, str(tmp_path / "none")), SMALL))
+    assert {r.kind for r in rows.collect()} == {"missing"}
+
+
+@pytest.mark.parametrize("kind, end", [("timestamp_ntz", ""), ("timestamp", "Z")])
+def test_a_window_reaches_the_scan_for_both_time_types(spark, conf, tmp_path, kind, end):
+    conf("spark.sql.maxMetadataStringLength", "1000")
+    path = str(tmp_path / "t")
+    days = spark.range(1, 8).selectExpr(
+        f"CAST(concat('2026-06-0', id, ' 12:00:00{end}') AS {kind}) AS tpep_pickup_datetime", "id AS extra"
+    )
+    days.write.parquet(path)
+    since, until = datetime(2026, 6, 3).date(), datetime(2026, 6, 4).date()
+    raw = normalize(read_raw(spark, path, days=("tpep_pickup_datetime", since, until)))
+    found = picked_up_between(raw, since, until)
+    assert sorted(r.extra for r in found.select("extra").collect()) == [3.0, 4.0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan and "LessThan(tpep_pickup_datetime" in plan
 
 
 def test_extracts_with_different_types_are_read_together(spark, tmp_path):

@@ -3,7 +3,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from lockgate.functions.expressions import day_part, ratio, utc_clock, utc_instant
+from lockgate.functions.expressions import day_part, exact_sum, ratio, utc_clock, utc_instant
 from lockgate.layouts import GOLD_LAYOUT, TRIP_KEY
 from lockgate.operators import trips as t
 from lockgate.operators.mart import daily_zone_metrics
@@ -187,3 +187,26 @@ def test_values_no_decimal_can_hold_are_not_skipped(spark, conf, ansi):
     conf("spark.sql.ansi.enabled", ansi)
     rows = [(date(2026, 6, 1), 1, amount, 1.0, 1.0, 1.0, False) for amount in (1e15, 2.0)]
     assert daily_zone_metrics(spark.createDataFrame(rows, SILVER)).first().total_revenue == 1e15 + 2
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_are_exact_in_any_order(spark, conf, ansi):
+    import math
+    import random
+
+    conf("spark.sql.ansi.enabled", ansi)
+    rng = random.Random(7)
+    values = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-12, 17) for _ in range(500)] + [4e-7] * 1000
+    rng.shuffle(values)
+    rows = [("mixed", v) for v in values] + [("tiny", 4e-27)] * 9 + [("none", None), ("some", None), ("some", -2.5)]
+    rows += [("nan", 1.0), ("nan", math.nan), ("inf", math.inf), ("inf", -1e300), ("far", 1e200), ("far", 1.0)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    sums = [
+        {r.k: r.s for r in dealt.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+        for dealt in (frame.coalesce(1), frame.repartition(4), frame.repartition(8).sortWithinPartitions("v"))
+    ]
+    got = sums[0]
+    assert all(repr(sorted(s.items())) == repr(sorted(got.items())) for s in sums)
+    assert got["mixed"] == pytest.approx(math.fsum(values), rel=1e-15)
+    assert got["tiny"] == pytest.approx(3.6e-26) and got["none"] is None and got["some"] == -2.5
+    assert math.isnan(got["nan"]) and got["inf"] == math.inf and got["far"] == 1e200
