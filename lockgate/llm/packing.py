@@ -2,9 +2,12 @@
 
 Documents become pieces of at most ``capacity`` tokens. Every partition packs its pieces
 best-fit, largest first, and emits the bins that are nearly full. Underfull bins go on as
-items of their own fill: groups of ``fan_in`` partitions are merged and packed again,
-round by round, until one partition is left; it holds only what no earlier round could
-fill. Bins carry pieces (ids and lengths), never token ids.
+items of their own fill: about ``fan_in`` partitions are merged and packed again, round by
+round. Before each round, bins that not even the smallest one left would fit into are
+emitted. A task gets about ``BINS`` bins or ``PIECES`` pieces, dealt in turn by fill so that
+each has its share of large and small ones; the last round is the one that has no fewer
+tasks than the round before it, or a single task. Bins carry pieces (ids and lengths),
+never token ids.
 
 Null text counts as empty: its only token is the end token, so every row has a piece.
 Long documents are cut from the end, so that only their first piece may be shorter.
@@ -26,6 +29,7 @@ from lockgate.llm.common import Work
 from lockgate.llm.tokens import Remembered, runs, segments_of
 
 LATIN = "\u024f"
+BINS, PIECES = 200_000, 1_000_000  # that a task of a later round gets
 
 _tokenizers: dict = {}
 
@@ -132,7 +136,10 @@ PIECE = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
 
 
 def _packer(capacity: int, full: int, last: bool):
-    """Rows (fill, members) in; the same out with ``done`` for bins that need no more."""
+    """Rows (fill, members) in; the same out with ``done`` for bins that need no more.
+
+    ``turn`` counts a task's bins that go on, by fill.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = list(batches)
@@ -153,11 +160,14 @@ def _packer(capacity: int, full: int, last: bool):
         offsets = np.r_[0, np.cumsum(per_bin)].astype(np.int32)
         packed = pa.ListArray.from_arrays(pa.array(offsets), taken.flatten())
         done = np.ones(len(bins), bool) if last else filled >= full
+        turn = np.zeros(len(bins), np.int64)
+        more = np.flatnonzero(~done)
+        turn[more[np.argsort(filled[more], kind="stable")]] = np.arange(len(more))
         for a in range(0, len(bins), 5000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[a : a + 5000]) for x in (filled.astype(np.int64), done)]
+                [pa.array(x[a : a + 5000]) for x in (filled.astype(np.int64), done, turn)]
                 + [packed.slice(a, 5000)],
-                ["fill", "done", "members"],
+                ["fill", "done", "turn", "members"],
             )
 
     return pack
@@ -201,25 +211,34 @@ def pack(
             yield pa.RecordBatch.from_arrays([pa.array(flat[:, 2]), lists], ["fill", "members"])
 
     full = int(capacity * full_share)
-    out = f"fill long, done boolean, {schema.split(', ', 1)[1]}"
+    out = f"fill long, done boolean, turn long, {schema.split(', ', 1)[1]}"
     finished = []
     width, level = 0, 0
     first = _packer(capacity, full, False)
     bins = rows.mapInArrow(lambda batches: first(cut(batches)), out)
     while True:
         bins = work.write(bins.withColumn("place", F.spark_partition_id()), f"round{level}")
-        finished.append(bins.filter("done").select(F.lit(level).alias("level"), "members"))
-        if width == 1:
-            break
         left = bins.filter(~F.col("done"))
-        if not width:
-            width = left.agg(F.max("place")).first()[0]
-            if width is None:
-                break
-            width += 1
-        width = -(-width // fan_in)
-        items = left.repartition(width, F.floor(F.col("place") / fan_in)).select("fill", "members")
-        bins = items.mapInArrow(_packer(capacity, full, width == 1), out)
+        # at most a row for each fill
+        fills = left.groupBy("fill").agg(
+            F.count("*").alias("bins"), F.sum(F.size("members")).alias("pieces"), F.max("place").alias("place")
+        ).collect()
+        # a bin that the smallest one left does not fit into takes no other either
+        room = capacity - min((r.fill for r in fills), default=capacity)
+        finished.append(
+            bins.filter(F.col("done") | (F.col("fill") > room)).select(F.lit(level).alias("level"), "members")
+        )
+        fills = [r for r in fills if r.fill <= room]
+        if not fills:
+            break
+        need = max(-(-sum(r.bins for r in fills) // BINS), -(-sum(r.pieces for r in fills) // PIECES))
+        before = width or max(r.place for r in fills) + 1
+        width = max(-(-before // fan_in), need)
+        last = width == 1 or width >= before
+        # each task before deals its bins out by fill, from another place on
+        deal = F.pmod(F.col("turn") + F.col("place"), F.lit(width))
+        items = left.filter(F.col("fill") <= room).repartition(width, deal).select("fill", "members")
+        bins = items.mapInArrow(_packer(capacity, full, last), out)
         level += 1
     bins = finished[0]
     for more in finished[1:]:

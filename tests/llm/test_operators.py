@@ -214,6 +214,34 @@ def test_packing(docs):
     assert len(places) <= math.ceil(total / 64) * 1.03 + 1
 
 
+@pytest.mark.parametrize("small", [0, 60])
+def test_packing_leaves_no_task_with_all_bins(spark, monkeypatch, small):
+    rounds = {}
+    write = Work.write
+
+    def kept(self, frame, name):
+        rounds[name] = write(self, frame, name)
+        return rounds[name]
+
+    monkeypatch.setattr(Work, "write", kept)
+    monkeypatch.setattr(packing, "BINS", 50, raising=False)
+    rows = [(i, "a b c d e f " * (6 if i < 300 else 1)) for i in range(300 + small)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = packing.pack(docs, BPE, capacity=64, fan_in=2, ranks=RANKS).collect()
+    assert sorted({r.doc_id for r in found}) == [i for i, _ in rows]
+    held = Counter()
+    for r in found:
+        held[r.sequence_id] += r.length
+    assert max(held.values()) <= 64
+    assert len(held) == 300
+    later = [f for name, f in rounds.items() if name != "round0"]
+    if not small:
+        assert not later  # no bin takes another
+    for f in later:
+        # a hash deals the parts out, so that a task may get several
+        assert max(r["count"] for r in f.groupBy("place").count().collect()) < 200
+
+
 def test_mixing(docs):
     rows = [r.asDict() for r in mixing.mix(docs).collect()]
     source = {i: s for i, _, _, s, *_ in ROWS}
