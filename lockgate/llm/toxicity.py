@@ -1,11 +1,13 @@
 """Toxicity by fuzzy lexicon matches in context.
 
 A lexicon of words and stems is learned from labelled rows; its trie is intersected with
-Levenshtein automata, so misspelled terms are caught too. The product of both is a finite
-automaton whose states are built when they are first met, so almost every word is
-rejected after a few characters. Each match is weighed by its context window: whether it
-stands in quotation marks or beside a word of reporting, or beside words of address. A
-logistic model over these sums gives the score.
+Levenshtein automata, so misspelled terms are caught too. A stem stands beside the words it
+was found in, which keep their own automata; stems of six letters take an edit too. The
+product of both is a finite automaton whose states are built when they are first met, so
+almost every word is rejected after a few characters. Each match is weighed by its context
+window: whether it stands in quotation marks or beside a word of reporting, or beside words
+of address. Misspellings of four-letter words are often other words, so they have a sum of
+their own. A logistic model over these sums gives the score.
 
 Lexicon and model are fitted on a bounded sample: ``sample_toxic`` and ``sample_clean``
 labelled rows of smallest id hash (defaults 6,000 and 12,000), half of it for the lexicon
@@ -34,7 +36,8 @@ REPORTING = frozenset("said says wrote writes quoted quote quotes called cited r
                       "dijo llamó schrieb sagte nannte zitierte écrit dit appelé cité".split())
 ADDRESS = frozenset("you your youre u du dich dein ihr tu te toi ton vous tú usted eres".split())
 QUOTES = re.compile('["“”«»„]')
-SUMS = ("exact", "fuzzy", "quoted", "address", "density")
+SUMS = ("exact", "fuzzy", "quoted", "address", "density", "short")
+SHORT = 4
 
 
 @dataclass(frozen=True)
@@ -47,8 +50,15 @@ class Term:
 
     @property
     def edits(self) -> int:
-        """Misspellings allowed: none in stems and short words."""
-        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
+        """Misspellings allowed: none in short stems and in words below ``SHORT`` letters."""
+        if self.stem:
+            return int(len(self.text) >= 6)
+        return 0 if len(self.text) < SHORT else 1 if len(self.text) < 9 else 2
+
+
+def _closest(match: tuple[float, int, bool]) -> tuple[int, bool, float]:
+    weight, edits, short = match
+    return edits, short, -weight
 
 
 class Automaton:
@@ -56,7 +66,8 @@ class Automaton:
 
     def __init__(self, terms: list[Term]) -> None:
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[Term | None] = [None]
+        self.ends: list[Term | None] = [None]  # words
+        self.stems: list[Term | None] = [None]
         self.most = [0]  # edits that any term below may still use
         for term in terms:
             node = 0
@@ -66,19 +77,22 @@ class Automaton:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
                     self.ends.append(None)
+                    self.stems.append(None)
                     self.most.append(0)
                 node = self.children[node][c]
                 self.most[node] = max(self.most[node], term.edits)
-            if self.ends[node] is None or self.ends[node].weight < term.weight:
-                self.ends[node] = term
+            ends = self.stems if term.stem else self.ends
+            if ends[node] is None or ends[node].weight < term.weight:
+                ends[node] = term
         self.states: list[tuple[tuple[int, int], ...]] = []
         self.names: dict[tuple, int] = {}
-        self.found: list[tuple[float, int] | None] = []  # at the end of a word
-        self.sure: list[tuple[float, int] | None] = []  # a stem that was passed
+        # matches: weight, edits and whether a short word is misspelled
+        self.found: list[tuple[float, int, bool] | None] = []  # at the end of a word
+        self.sure: list[tuple[float, int, bool] | None] = []  # a stem that was passed
         self.moves: dict[tuple[int, str], int] = {}
         self.start = self._state({0: 0}, None)
 
-    def _state(self, nodes: dict[int, int], stem: tuple[float, int] | None) -> int:
+    def _state(self, nodes: dict[int, int], stem: tuple[float, int, bool] | None) -> int:
         """The number of the state that holds ``nodes`` (trie node: edits) after deletions."""
         todo = list(nodes.items())
         while todo:
@@ -87,19 +101,20 @@ class Automaton:
                 if edits < self.most[child] and nodes.get(child, 9) > edits + 1:
                     nodes[child] = edits + 1
                     todo.append((child, edits + 1))
+        passed = [stem] if stem else []
         for node, edits in nodes.items():
-            end = self.ends[node]
-            if end and end.stem and not edits:
-                stem = max(stem or (0.0, 0), (end.weight, 0))
+            end = self.stems[node]
+            if end and edits <= end.edits:
+                passed.append((end.weight, edits, False))
+        stem = min(passed, key=_closest, default=None)
         key = (tuple(sorted(nodes.items())), stem)
         if key not in self.names:
             self.names[key] = len(self.states)
             self.states.append(key[0])
             self.sure.append(stem)
             ends = [(self.ends[n], e) for n, e in nodes.items() if self.ends[n]]
-            ends = [(t.weight, e) for t, e in ends if not t.stem and e <= t.edits]
-            best = min(ends, key=lambda x: (x[1], -x[0])) if ends else None
-            self.found.append(best if best and not (stem and best[1]) else stem)
+            whole = [(t.weight, e, e > 0 and len(t.text) <= SHORT) for t, e in ends if e <= t.edits]
+            self.found.append(min([*whole, *([stem] if stem else [])], key=_closest, default=None))
         return self.names[key]
 
     def step(self, state: int, char: str) -> int:
@@ -122,6 +137,11 @@ class Automaton:
 
     def match(self, word: str) -> tuple[float, int] | None:
         """(weight, edits) of the closest term, or None."""
+        found = self.closest(word)
+        return found and found[:2]
+
+    def closest(self, word: str) -> tuple[float, int, bool] | None:
+        """(weight, edits, whether a short word is misspelled) of the closest term, or None."""
         state = self.start
         moves = self.moves
         for c in word:
@@ -139,9 +159,9 @@ class Matcher:
 
     def __init__(self, terms: list[Term]) -> None:
         self.automaton = Automaton(terms)
-        self.known: dict[str, tuple[float, int] | None] = {}
+        self.known: dict[str, tuple[float, int, bool] | None] = {}
 
-    def sums(self, text: str) -> tuple[float, float, float, float, float, int]:
+    def sums(self, text: str) -> tuple[float, float, float, float, float, float, int]:
         text = text.lower()
         words = WORD.findall(text)
         known = self.known
@@ -150,33 +170,35 @@ class Matcher:
         hits = set()
         for w in set(words):
             if w not in known:
-                known[w] = self.automaton.match(w[:64])
+                known[w] = self.automaton.closest(w[:64])
             if known[w] is not None:
                 hits.add(w)
         if not hits:
-            return 0.0, 0.0, 0.0, 0.0, 0.0, 0
-        exact = fuzzy = quoted = address = 0.0
+            return 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0
+        exact = fuzzy = quoted = address = short = 0.0
         n = 0
         spans = [(m.start(), m.end()) for m in WORD.finditer(text)]
         for i, w in enumerate(words):
             if w not in hits:
                 continue
             n += 1
-            weight, edits = known[w]
+            weight, edits, little = known[w]
             near = words[max(0, i - WINDOW) : i] + words[i + 1 : i + 1 + WINDOW]
             a, b = spans[max(0, i - WINDOW)][0], spans[min(len(spans) - 1, i + WINDOW)][1]
             left, right = text[a : spans[i][0]], text[spans[i][1] : b]
             reported = bool(QUOTES.search(left) and QUOTES.search(right))
             if reported or not REPORTING.isdisjoint(near):
                 quoted += weight
+            elif little:
+                short += weight
             elif edits:
                 fuzzy += weight
             else:
                 exact += weight
-            if not ADDRESS.isdisjoint(near):
+            if not little and not ADDRESS.isdisjoint(near):
                 address += weight
         total = exact + fuzzy
-        return exact, fuzzy, quoted, address, 100 * total / (len(words) + 20), n
+        return exact, fuzzy, quoted, address, 100 * total / (len(words) + 20), short, n
 
 
 @dataclass(frozen=True)
@@ -239,7 +261,7 @@ def _lexicon(sample: DataFrame, min_docs: int, purity: float, most: int) -> list
     # a stem counts only where it stands for several words, else the word itself is the term
     several = {t.text for t in found if t.stem and sum(w.startswith(t.text) for w in words) != 1}
     heads = {s for s in several if not any(s != t and s.startswith(t) for t in several)}
-    return [t for t in found if (t.text in heads if t.stem else not any(t.text.startswith(s) for s in heads))]
+    return [t for t in found if not t.stem or t.text in heads]
 
 
 def _sums(rows: DataFrame, terms: tuple[Term, ...], *keep: str) -> DataFrame:

@@ -329,6 +329,27 @@ def test_misspelled_terms_match():
     assert plain[0] > 0 and quoted[0] == 0 and quoted[2] > 0
 
 
+def test_a_stem_keeps_its_words_automata():
+    terms = [toxicity.Term("idiot", False, 3.0), toxicity.Term("idiot", True, 1.0), toxicity.Term("idiots", False, 2.0)]
+    match = toxicity.Automaton(terms).match
+    assert match("idiot") == (3.0, 0) and match("idiots") == (2.0, 0) and match("idiotic") == (1.0, 0)
+    assert match("idi0t") == (3.0, 1) and match("iidiot") == (3.0, 1) and match("idot") == (3.0, 1)
+    match = toxicity.Automaton([toxicity.Term("wretch", True, 1.0), toxicity.Term("scum", False, 2.0)]).match
+    assert match("wretchedly") == (1.0, 0) and match("wr3tchedly") == (1.0, 1) and match("w3tchedly") is None
+    assert match("scvm") == (2.0, 1) and match("sm") is None
+    assert toxicity.Matcher([toxicity.Term("scum", False, 2.0)]).sums("a scvm b")[:6] == (0, 0, 0, 0, 0, 2.0)
+
+
+def test_words_of_a_family_stay_in_the_lexicon(spark):
+    rows = [(1, f"idiot idiots scum w{i}") for i in range(20)] + [(0, f"fine words v{i}") for i in range(20)]
+    sample = spark.createDataFrame(rows, "toxic long, text string")
+    terms = toxicity._lexicon(sample, 4, 0.97, 100)
+    assert {t.text for t in terms if not t.stem} == {"idiot", "idiots", "scum"}
+    assert [t.text for t in terms if t.stem] == ["idio"]
+    match = toxicity.Automaton(terms).match
+    assert all(match(w) for w in ("idi0t", "iidiot", "idot", "scvm", "idiotic"))
+
+
 def test_toxic_documents_go(spark):
     rng = random.Random(3)
     words = ["".join(rng.choices("aeioulmnrst", k=5)) for _ in range(80)]
