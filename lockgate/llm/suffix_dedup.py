@@ -12,7 +12,10 @@ look only at the words where a group branches. Equal neighbours in that order ar
 repeats; all but the first occurrence are removed.
 
 An anchor in more than ``hot`` different regions would be a group for one task. Its
-strings go on as rows of their own, dealt by a hash of the whole string.
+strings become rows of their own and are not sorted: the first occurrence of each is an
+aggregate over its bytes, combined before the shuffle, and a join by bytes marks all others.
+The most frequent strings, at most ``COMMON``, are broadcast for it, so that no task gets
+all occurrences of a string.
 
 Texts are UTF-8 bytes; null is empty. Order is by doc_id, then place; ids are unique, and
 repeated rows (equal id and text) are one document, each with the same result. Rows without
@@ -38,6 +41,7 @@ CHUNK = 1 << 20
 SHALLOW = 3
 PLACE = np.uint64((1 << 28) - 1)
 BATCH = 150_000  # strings that are sorted at once, at least one anchor's
+COMMON = 10_000
 
 
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -203,8 +207,8 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _contexts(length: int):
-    """Bytes of a document's open regions; of hot anchors, each string by its own hash."""
+def _contexts(length: int, single: bool):
+    """Bytes of a document's open regions, or of each string in them if ``single``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "id", "start", "strings", "bytes"]
@@ -221,14 +225,11 @@ def _contexts(length: int):
             ):
                 for f in found:
                     low, n = f["place"] >> 16, (f["place"] >> 8) & 255
-                    spans = [(low + t, 1) for t in range(n)] if f["hot"] else [(low, n)]
+                    spans = [(low + t, 1) for t in range(n)] if single else [(low, n)]
                     for start, m in spans:
                         own = text[start : start + m - 1 + length]
-                        key = f["key"]
-                        if f["hot"]:
-                            key = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True)
                         at.append(i)
-                        keys.append(key)
+                        keys.append(f["key"])
                         starts.append(start)
                         counts.append(m)
                         held.append(own)
@@ -319,6 +320,20 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _hot_spans(work: Work, strings: DataFrame, length: int) -> DataFrame:
+    """Spans (id, start, end) of ``strings`` (id, start, bytes) but the first of equal bytes."""
+    firsts = strings.groupBy("bytes").agg(F.min(F.struct("id", "start")).alias("head"), F.count("*").alias("n"))
+    firsts = work.write(firsts.filter("n > 1"), "firsts")
+    often = F.col("n") > strings.count() // COMMON  # fewer than COMMON strings, or all of few
+    common, rare = F.broadcast(firsts.filter(often)), firsts.filter(~often)
+    # common strings leave before the shuffle by bytes
+    others = strings.join(F.broadcast(firsts.filter(often).select("bytes")), "bytes", "left_anti")
+    met = strings.join(common, "bytes").unionByName(others.join(rare, "bytes"))
+    return met.filter((F.col("id") != F.col("head.id")) | (F.col("start") != F.col("head.start"))).select(
+        "id", "start", (F.col("start") + length).alias("end")
+    )
+
+
 def repeated_spans(docs: DataFrame, length: int = 100, hot: int = 5_000) -> DataFrame:
     """Spans (id, start, end), not merged, of ``docs`` (id, text as binary) to remove."""
     work = Work(docs.sparkSession, "suffix")
@@ -349,14 +364,19 @@ def repeated_spans(docs: DataFrame, length: int = 100, hot: int = 5_000) -> Data
     met = work.write(found.mapInArrow(_heads, f"key long, id {kind}, place long, open boolean"), "met")
     heads = met.filter("open")
     many = heads.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot)
-    many = many.select("key", F.lit(True).alias("hot"))
-    listed = heads.join(many, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    listed = listed.groupBy("id").agg(F.collect_list(F.struct("key", "place", "hot")).alias("found"))
-    contexts = named.join(listed, "id").select("id", "text", "found").mapInArrow(
-        _contexts(length), f"key long, id {kind}, start long, strings long, bytes binary"
-    )
-    sorted_ = contexts.repartition("key").sortWithinPartitions("key")
+    many = work.write(many.select("key"), "many")
+
+    def contexts(regions: DataFrame, single: bool) -> DataFrame:
+        listed = regions.groupBy("id").agg(F.collect_list(F.struct("key", "place")).alias("found"))
+        return named.join(listed, "id").select("id", "text", "found").mapInArrow(
+            _contexts(length, single), f"key long, id {kind}, start long, strings long, bytes binary"
+        )
+
+    sorted_ = contexts(heads.join(many, "key", "left_anti"), False).repartition("key").sortWithinPartitions("key")
     some = work.write(sorted_.mapInArrow(_removed(length), f"id {kind}, start long, end long"), "some")
+    if not many.isEmpty():
+        strings = contexts(heads.join(many, "key"), True).select("id", "start", "bytes")
+        some = some.unionByName(_hot_spans(work, work.write(strings, "strings"), length))
     start = F.shiftright("place", 16)
     end = start + F.shiftright("place", 8).bitwiseAND(255) - 1 + length
     return met.filter("not open").select("id", start.alias("start"), end.alias("end")).unionByName(some)

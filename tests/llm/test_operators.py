@@ -164,6 +164,38 @@ def test_hot_anchors_are_split(docs):
     assert covered(plain) == covered(dealt)
 
 
+@pytest.mark.parametrize("common", [1, 10_000])
+def test_a_hot_string_is_reduced_before_it_is_compared(spark, monkeypatch, common):
+    tables = {}
+    write = Work.write
+
+    def kept(self, frame, name):
+        tables[name] = write(self, frame, name)
+        return tables[name]
+
+    monkeypatch.setattr(Work, "write", kept)
+    monkeypatch.setattr(suffix_dedup, "COMMON", common, raising=False)
+    rng = random.Random(8)
+    passage = "".join(rng.choices("abcdefgh", k=150))
+    rows = [
+        (i, ("".join(rng.choices("ijklmnop", k=120)) + passage + "".join(rng.choices("ijklmnop", k=120))).encode())
+        for i in range(60)
+    ]
+    docs = spark.createDataFrame(rows, "id long, text binary").repartition(4)
+    spans = suffix_dedup.repeated_spans(docs, hot=20).collect()
+    covered = {(r.id, x) for r in spans for x in range(r.start, r.end)}
+    seen, expected = set(), set()
+    for i, t in rows:
+        for a in range(len(t) - 99):
+            if t[a : a + 100] in seen:
+                expected.update((i, x) for x in range(a, a + 100))
+            seen.add(t[a : a + 100])
+    assert covered == expected and {(i, x) for i in range(1, 60) for x in range(120, 270)} <= covered
+    firsts = tables["firsts"].collect()
+    assert len({bytes(r.bytes) for r in firsts}) == len(firsts)
+    assert max(r.n for r in firsts) == 60 and all(r.head.id == 0 for r in firsts if r.n == 60)
+
+
 def test_deep_shallow_order():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 3, (400, 7)).astype(np.uint64)
