@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lockgate.llm import exact_dedup, jaccard, language, lm_scoring, mixing, packing, quality_rules, suffix_dedup, tokens, toxicity
+from lockgate.llm import (
+    decontamination,
+    exact_dedup,
+    fim,
+    jaccard,
+    language,
+    lm_scoring,
+    manifest,
+    mixing,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    tokens,
+    toxicity,
+)
 from lockgate.llm.common import Work
 
 
@@ -65,12 +79,31 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(docs, rules)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.summary(decontamination.contaminated(docs, benchmark))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proofs(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transformed(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle() -> dict[str, str]:
-    return {"op9_exact_dedup": EXACT_DEDUP}
+    return {
+        "op9_exact_dedup": EXACT_DEDUP,
+        "op11_decontamination": decontamination.SQL,
+        "op12_manifest": manifest.SQL,
+        "op13_fill_in_middle": fim.SQL,
+    }
 
 
 EXACT_DEDUP = r"""
