@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lockgate.sources.storage import scratch_path
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,16 +20,8 @@ class Work:
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            if not spark.sparkContext.master.startswith(("local[", "local")) or (
-                spark.sparkContext.master.startswith("local-cluster")
-            ):
-                raise ValueError("spark.checkpoint.dir has to name a shared folder")
-            root = tempfile.mkdtemp(prefix="lockgate-")
-            spark.conf.set("spark.checkpoint.dir", root)
         self.spark = spark
-        self.root = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.root = scratch_path(spark, name)
 
     def write(self, frame: DataFrame, name: str) -> DataFrame:
         """Write ``frame`` as Parquet and return a frame that reads it."""

@@ -98,11 +98,16 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without copies: of equal texts, one row with the smallest id stays."""
-    groups = exact_groups(docs, id_col, text_col).filter("kept").select("doc_id").distinct()
-    same = F.col(id_col).eqNullSafe(F.col("__keep"))
-    rows = docs.join(groups.withColumnRenamed("doc_id", "__keep"), same, "left_semi")
-    # rows that repeat id and text are one document
-    return rows.withColumn("__norm", F.sha2(normalised(F.col(text_col)), 256)).dropDuplicates(
-        [id_col, "__norm"]
-    ).drop("__norm")
+    """``docs`` without copies: of equal texts, one row with the smallest id stays.
+
+    Rows are told by id *and* text, so an id with several texts keeps those that stay. Of
+    rows that repeat both, any one stays.
+    """
+    index = dedup_index(docs, Work(docs.sparkSession, "drop-copies"), id_col, text_col)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, normalised(F.col(text_col)).alias("norm")).select(
+        "row", F.xxhash64("norm").alias("key"), F.sha2("norm", 256).alias("sha")
+    )
+    stays = rows.join(index.select("key", "sha", "keep_id"), ["key", "sha"])
+    stays = stays.filter(F.col("row")[id_col].eqNullSafe(F.col("keep_id")))
+    return stays.dropDuplicates(["key", "sha"]).select("row.*")

@@ -379,4 +379,6 @@ def near_copies(
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id."""
     gone = near_copies(docs, id_col, text_col).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col(id_col) == F.col("__gone"), "left_anti")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, F.col(id_col).alias("ident"))
+    return rows.join(gone, F.col("ident") == F.col("doc_id"), "left_anti").select("row.*")
