@@ -271,6 +271,15 @@ RULE_LINE = """CASE WHEN passed THEN '[PASS] ' ELSE '[FAIL] ' END || rule || ':
                       THEN ', ' || format('{:,}', failing_rows) || ' bad rows' ELSE '' END
          ELSE 'metric=' || format('{:g}', metric) END"""
 
+#: What two loads of late trips bring: one group of zones comes late, and for two days only.
+ARRIVED = "(pu_location_id % 10 <> 3 OR day(pickup_date) IN (2, 4))"
+UNDATED = f"""SELECT count(*) FILTER (WHERE inside) AS rows_in,
+    count(*) FILTER (WHERE inside AND kept) AS rows_out,
+    count(*) FILTER (WHERE inside AND NOT kept) AS rows_quarantined,
+    count(*) FILTER (WHERE missing) AS rows_without_date
+    FROM (SELECT pu_location_id % 50 = 7 AS missing, {holds(BRONZE)} AS kept, pu_location_id % 50 <> 7
+            AND pickup_date BETWEEN DATE '{DATES[0]}' AND DATE '{DATES[1]}' AS inside FROM shaped)"""
+
 # --- history: one run per pickup day; the last day of "bronze" is dirty ---
 
 
@@ -665,6 +674,14 @@ def oracle() -> dict[str, str]:
         "run_bronze": v(f"SELECT {BRONZE_COLUMNS} FROM bronze"),
         "run_silver": v(f"SELECT {SILVER_COLUMNS} FROM silver"),
         "run_gold": v("SELECT * FROM gold"),
+        "late_rows_merge": v(f"SELECT * FROM gold WHERE {ARRIVED}"),
+        "late_rows_bronze": v(f"SELECT {BRONZE_COLUMNS} FROM deduplicated WHERE {ARRIVED}"),
+        "late_rows_quarantine": v(
+            "SELECT trip_id, dq_failures, pickup_date FROM (SELECT DISTINCT"
+            f" {BRONZE_COLUMNS}, dq_failures FROM rejected WHERE {ARRIVED})"
+        ),
+        "undated_rows": v(UNDATED),
+        "check_mixed_files": v(f"SELECT * FROM {BRONZE_REPORT}"),
         "run_no_gates": dirty(f"SELECT * FROM {dirty_gold}"),
         "run_no_quarantine": v("SELECT * FROM gold", gated=False),
         "backfill_idempotent": v("SELECT * FROM gold"),

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lockgate.functions.expressions import all_true, constant
-from lockgate.operators.rules import Rule, RuleSet
+from lockgate.operators.rules import DatasetRule, Rule, RuleSet
 
 #: Added to quarantined rows: the names of all the rules they broke, in order.
 FAILURES = "_dq_failures"
 
+#: Added to routed rows: whether a row keeps every quarantine rule.
+KEPT = "_dq_kept"
+
 #: One record per rule, as produced by :func:`evaluate`, after stage and ruleset.
 RESULT_FIELDS = """
     position int, name string, description string, severity string, kind string,
@@ -29,6 +32,80 @@ def _count_true(flag: Column) -> Column:
     return F.coalesce(F.sum(flag.cast("bigint")), F.lit(0).cast("bigint"))
 
 
+def _flags(ruleset: RuleSet) -> tuple[dict[str, Column], Column]:
+    """A column for every row rule, and whether a row keeps all quarantine rules.
+
+    Flags get columns of their own first: each predicate is then computed once per row,
+    however many counts it takes part in.
+    """
+    flags = {f"_holds_{i}": rule.holds for i, rule in enumerate(ruleset.row_rules)}
+    clean = all_true(
+        F.col(f"_holds_{i}") for i, rule in enumerate(ruleset.row_rules) if rule.quarantine
+    )
+    return flags, clean
+
+
+def _counts(flags: dict[str, Column], clean: Column) -> list[Column]:
+    counts = [F.count(F.lit(1)).alias("total_rows"), _count_true(clean).alias("clean_rows")]
+    return counts + [_count_true(F.col(f)).alias(f.removeprefix("_")) for f in flags]
+
+
+def _metrics(ruleset: RuleSet) -> list[tuple[DatasetRule, str, Column]]:
+    return [
+        (rule, f"metric_{i}", rule.metric.cast("double").alias(f"metric_{i}"))
+        for i, rule in enumerate(ruleset.dataset_rules)
+    ]
+
+
+def route(
+    df: DataFrame, ruleset: RuleSet, *, keyed_by: str | None = None
+) -> tuple[DataFrame, Observation]:
+    """``df`` with :data:`FAILURES` and :data:`KEPT`, and what is measured while it is written.
+
+    The observation holds the columns of :func:`measure` once an action has run, so
+    measuring needs no pass of its own. Put the rows behind the last shuffle: there, every
+    task's counts enter once, however often executors are lost.
+
+    ``keyed_by`` says that equal values of that column already share a task, as behind a
+    deduplication by it. Its surplus copies are then counted in place, without a shuffle;
+    distinct counts of other columns are left out (see :func:`measured_apart`).
+    """
+    flags, clean = _flags(ruleset)
+    broken = [
+        F.when(~F.col(f"_holds_{i}"), F.lit(rule.name))
+        for i, rule in enumerate(ruleset.row_rules)
+        if rule.quarantine
+    ]
+    failures = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
+    counts = _counts(flags, clean)
+    names = df.columns
+    if keyed_by:
+        nth = F.row_number().over(Window.partitionBy(keyed_by).orderBy(keyed_by))
+        df = df.withColumn("_surplus", F.col(keyed_by).isNotNull() & (nth > 1))
+    for rule, name, metric in _metrics(ruleset):
+        if not rule.distinct:
+            counts.append(metric)
+        elif rule.columns == (keyed_by,):
+            counts.append(_count_true(F.col("_surplus")).cast("double").alias(name))
+    seen = Observation()
+    rows = df.withColumns(flags).withColumn(KEPT, clean).observe(seen, *counts)
+    return rows.select(*names, failures.alias(FAILURES), KEPT), seen
+
+
+def measured_apart(staged: DataFrame, ruleset: RuleSet, known: Iterable[str]) -> dict[str, object]:
+    """The metrics that :func:`route` left out, each from its own column of the staged rows."""
+    missing = [(n, m) for rule, n, m in _metrics(ruleset) if rule.distinct and n not in set(known)]
+    return {name: staged.agg(metric).first()[0] for name, metric in missing}
+
+
+def as_measures(spark: SparkSession, values: dict[str, object], ruleset: RuleSet) -> DataFrame:
+    """Observed values as the one row that :func:`measure` would give."""
+    counts = ["total_rows", "clean_rows", *(f"holds_{i}" for i in range(len(ruleset.row_rules)))]
+    metrics = [f"metric_{i}" for i in range(len(ruleset.dataset_rules))]
+    ddl = ", ".join([f"{c} bigint" for c in counts] + [f"{m} double" for m in metrics])
+    return spark.createDataFrame([tuple(values[name] for name in counts + metrics)], ddl)
+
+
 def measure(df: DataFrame, ruleset: RuleSet, by: Sequence[str] = ()) -> DataFrame:
     """Everything a report needs, in one query: one row per ``by`` group.
 
@@ -40,18 +117,9 @@ def measure(df: DataFrame, ruleset: RuleSet, by: Sequence[str] = ()) -> DataFram
     gets an aggregation of its own, which then carries that one column only,
     instead of every other count along with each distinct value.
     """
-    # Flags get columns of their own first: each predicate is then computed once
-    # per row, however many counts it takes part in.
-    flags = {f"_holds_{i}": rule.holds for i, rule in enumerate(ruleset.row_rules)}
-    clean = all_true(
-        F.col(f"_holds_{i}") for i, rule in enumerate(ruleset.row_rules) if rule.quarantine
-    )
-    counts = [F.count(F.lit(1)).alias("total_rows"), _count_true(clean).alias("clean_rows")]
-    counts += [_count_true(F.col(f)).alias(f.removeprefix("_")) for f in flags]
-    metrics = [
-        (rule, rule.metric.cast("double").alias(f"metric_{i}"))
-        for i, rule in enumerate(ruleset.dataset_rules)
-    ]
+    flags, clean = _flags(ruleset)
+    counts = _counts(flags, clean)
+    metrics = [(rule, metric) for rule, _, metric in _metrics(ruleset)]
     counts += [metric for rule, metric in metrics if not rule.distinct]
     result = df.withColumns(flags).groupBy(*by).agg(*counts)
     apart = [metric for rule, metric in metrics if rule.distinct]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lockgate import layouts as L
-from lockgate.functions.expressions import day_part, is_instant, ratio, utc_clock, whole_seconds
+from lockgate.functions.expressions import all_true, day_part, is_instant, ratio, utc_clock, whole_seconds
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -55,16 +55,16 @@ def clean(df: DataFrame) -> DataFrame:
     return df.transform(normalize).transform(add_trip_id).transform(add_pickup_date)
 
 
-def deduplicate(df: DataFrame) -> DataFrame:
-    """One row per ``trip_id``: the first in the order of all columns.
+def deduplicate(df: DataFrame, key: str = "trip_id") -> DataFrame:
+    """One row per ``key``: the first in the order of all columns.
 
     The key leaves out fields that later matter (tip, rate code), so copies can
     differ and an arbitrary survivor would make results vary between runs.
     Asking for row 1 lets Spark keep one row per key *before* the shuffle, so
     a trip with very many copies still sends one row per input partition.
     """
-    order = [c for c in df.columns if c != "trip_id"]
-    ranked = df.withColumn("_copy", F.row_number().over(W.partitionBy("trip_id").orderBy(*order)))
+    order = [c for c in df.columns if c != key]
+    ranked = df.withColumn("_copy", F.row_number().over(W.partitionBy(key).orderBy(*order)))
     return ranked.filter(F.col("_copy") == 1).drop("_copy")
 
 
@@ -109,12 +109,8 @@ def between_dates(df: DataFrame, since: date | None, until: date | None) -> Data
     return df
 
 
-def picked_up_between(df: DataFrame, since: date | None, until: date | None) -> DataFrame:
-    """The same window put as a range of ``pickup_at``.
-
-    On raw trips there is no date column to prune by; a plain range on the
-    stored timestamp is what the Parquet reader can use.
-    """
+def picked_up_within(df: DataFrame, since: date | None, until: date | None) -> Column:
+    """The window as a condition on ``pickup_at``; null without a pickup time."""
     check_window(since, until)
     # Cast from text: a Python datetime would become an instant either way.
     kind, zone = ("timestamp", "Z") if is_instant(df, "pickup_at") else ("timestamp_ntz", "")
@@ -122,8 +118,26 @@ def picked_up_between(df: DataFrame, since: date | None, until: date | None) ->
     def midnight(day: date) -> Column:
         return F.lit(f"{day.isoformat()} 00:00:00{zone}").cast(kind)
 
+    bounds = []
     if since:
-        df = df.filter(F.col("pickup_at") >= midnight(since))
+        bounds.append(F.col("pickup_at") >= midnight(since))
     if until:
-        df = df.filter(F.col("pickup_at") < midnight(until + timedelta(days=1)))
-    return df
+        bounds.append(F.col("pickup_at") < midnight(until + timedelta(days=1)))
+    return all_true(bounds)
+
+
+def picked_up_between(df: DataFrame, since: date | None, until: date | None) -> DataFrame:
+    """The same window put as a range of ``pickup_at``.
+
+    On raw trips there is no date column to prune by; a plain range on the
+    stored timestamp is what the Parquet reader can use.
+    """
+    return df.filter(picked_up_within(df, since, until))
+
+
+def on_days(df: DataFrame, days: Sequence[date | None] | None) -> DataFrame:
+    """Rows of the given partition dates; all rows without a list."""
+    if days is None:
+        return df
+    found = F.col(L.PARTITION).isin([day for day in days if day is not None])
+    return df.filter(found | F.col(L.PARTITION).isNull() if None in days else found)

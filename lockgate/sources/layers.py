@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lockgate.layouts import PARTITION
+from lockgate.operators.trips import deduplicate
 from lockgate.sources import storage
 
 #: Partition directories looked at concurrently.
@@ -52,9 +53,7 @@ def _arranged(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.repartition(tasks, *[F.col(c) for c in partition_by], salt)
 
 
-def _marks(
-    spark: SparkSession, path: str, depth: int, since: date | None, until: date | None
-) -> dict[str, str]:
+def _marks(spark: SparkSession, path: str, depth: int, **window) -> dict[str, str]:
     """One data file of every partition directory in the window: {directory: file}.
 
     Directories are listed side by side, because an object store answers each
@@ -69,7 +68,7 @@ def _marks(
         for _ in range(depth):
             entries = [entry for listed in pool.map(inside, level) for entry in listed]
             level = [child for name, child, is_dir in entries if is_dir and "=" in name]
-        level = [directory for directory in level if _in_window(directory, since, until)]
+        level = [directory for directory in level if _in_window(directory, **window)]
         found = {}
         for directory, entries in zip(level, pool.map(inside, level)):
             files = [p for name, p, is_dir in entries if not is_dir and name[0] not in "._"]
@@ -88,15 +87,21 @@ def _drop_unreplaced(spark: SparkSession, marks: dict[str, str]) -> None:
         list(pool.map(check, marks.items()))
 
 
-def _in_window(directory: str, since: date | None, until: date | None) -> bool:
+def _in_window(
+    directory: str, since: date | None, until: date | None, days: Collection[date | None] | None
+) -> bool:
     values = [p.partition("=")[2] for p in directory.split("/") if p.startswith(f"{PARTITION}=")]
-    if not (since or until):
+    if days is None and not (since or until):
         return True
     try:
         day = date.fromisoformat(unquote(values[-1]))
-    except (IndexError, ValueError):
+    except IndexError:
         return False
-    return (since is None or day >= since) and (until is None or day <= until)
+    except ValueError:
+        day = None
+    if days is not None:
+        return day in days
+    return day is not None and (since is None or day >= since) and (until is None or day <= until)
 
 
 def write_layer(
@@ -107,6 +112,7 @@ def write_layer(
     mode: str = "overwrite",
     since: date | None = None,
     until: date | None = None,
+    days: Collection[date | None] | None = None,
     empty: bool = False,
     replace_all: bool = False,
 ) -> None:
@@ -115,7 +121,7 @@ def write_layer(
     Dynamic overwrite replaces the partitions present in ``df``. A run without a
     window answers for the days it brings, so loads of different days add up. A
     run with a window answers for all of it: a partition inside that ``df`` no
-    longer has is removed. An open end reaches as far as the data, and
+    longer has is removed. The same holds for a run over a list of ``days``. An open end reaches as far as the data, and
     ``replace_all`` makes a run answer for every partition there is. Removal
     follows the write, so a run that dies between the two leaves the old
     partitions beside the new ones, and a rerun removes them. Such a partition is
@@ -129,9 +135,65 @@ def write_layer(
         df.write.mode(mode).parquet(path)
         return
     before = {}
-    if mode == "overwrite" and (since or until or replace_all):
-        before = _marks(spark, path, len(partition_by), since, until)
+    if mode == "overwrite" and (since or until or replace_all or days is not None):
+        before = _marks(spark, path, len(partition_by), since=since, until=until, days=days)
     if not empty:
         writer = _arranged(df, partition_by).write.mode(mode).partitionBy(*partition_by)
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     _drop_unreplaced(spark, before)
+
+
+def touched_by(df: DataFrame, partition_by: Sequence[str] = (PARTITION,)) -> list[tuple]:
+    """The partitions that ``df`` has rows for: as many values as directories."""
+    return [tuple(row) for row in df.select(*partition_by).distinct().collect()]
+
+
+def _in_any(touched: Sequence[tuple], partition_by: Sequence[str]) -> Column:
+    """A condition on partition columns alone, which prunes directories."""
+    if len(partition_by) == 1:
+        column, values = F.col(partition_by[0]), [value for (value,) in touched]
+        found = column.isin([value for value in values if value is not None])
+        return found | column.isNull() if None in values else found
+    found = F.lit(False)
+    for values in touched:
+        same = F.lit(True)
+        for name, value in zip(partition_by, values):
+            same = same & F.col(name).eqNullSafe(F.lit(value))
+        found = found | same
+    return found
+
+
+def merge_layer(
+    df: DataFrame,
+    path: str,
+    layout: T.StructType,
+    *,
+    key: str | None = None,
+    partition_by: Sequence[str] = (PARTITION,),
+    touched: Sequence[tuple] | None = None,
+) -> list[tuple]:
+    """Adds rows to the partitions they belong to, keeping what is there; returns those partitions.
+
+    Copy on write: only partitions that ``df`` has rows for are read and rewritten, the
+    files of all others stay as they are. Rows that share ``key`` become one, the first in
+    the order of all columns, whichever load brought it: loads may come in any order, twice,
+    or overlap, and give the same layer. Rows of one key have to share a partition. Without
+    a key, rows are one when all their columns agree. A partition that is not there yet is
+    merged with nothing. ``touched`` saves the scan that finds the partitions.
+
+    ``df`` is read more than once unless ``touched`` is given; it must not read ``path``.
+    """
+    if not partition_by:
+        raise ValueError("a flat layer is replaced whole; there are no partitions to merge into")
+    spark = df.sparkSession
+    touched = touched_by(df, partition_by) if touched is None else list(touched)
+    if not touched:
+        return touched
+    rows = df.select(*layout.fieldNames())
+    if storage.exists(spark, path):
+        there = read_layer(spark, path, layout).filter(_in_any(touched, partition_by))
+        rows = there.unionByName(rows)
+    rows = deduplicate(rows, key) if key else rows.distinct()
+    writer = _arranged(rows, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return touched

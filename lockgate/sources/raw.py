@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lockgate.functions.expressions import utc_instant
+from lockgate.functions.expressions import all_true, utc_instant
 from lockgate.layouts import RAW_LAYOUT
 
 FORMATS = ("parquet", "csv")
@@ -215,17 +215,22 @@ def conform(
     return stored.select(*[_declared(stored, f, case_sensitive=case_sensitive) for f in declared])
 
 
-def _within(stored: DataFrame, name: str, since: date | None, until: date | None) -> DataFrame:
+def _within(
+    stored: DataFrame, name: str, since: date | None, until: date | None, undated: bool
+) -> DataFrame:
     """Rows whose time without a zone lies on the days asked for, as a range on the stored
     column, which the Parquet reader can use. Columns of other types are left to the caller."""
     for field in stored.schema:
         if field.name.casefold() == name.casefold() and isinstance(field.dataType, T.TimestampNTZType):
             value = F.col(f"`{field.name}`")
+            bounds = []
             if since:
-                stored = stored.filter(value >= F.lit(f"{since} 00:00:00").cast("timestamp_ntz"))
+                bounds.append(value >= F.lit(f"{since} 00:00:00").cast("timestamp_ntz"))
             if until:
                 after = until + timedelta(days=1)
-                stored = stored.filter(value < F.lit(f"{after} 00:00:00").cast("timestamp_ntz"))
+                bounds.append(value < F.lit(f"{after} 00:00:00").cast("timestamp_ntz"))
+            inside = all_true(bounds)
+            stored = stored.filter(inside | value.isNull() if undated else inside)
     return stored
 
 
@@ -237,6 +242,7 @@ def read_raw(
     declared: T.StructType = RAW_LAYOUT,
     files: DataFrame | None = None,
     days: tuple[str, date | None, date | None] | None = None,
+    undated: bool = False,
 ) -> DataFrame:
     """One or many raw extracts in the declared layout.
 
@@ -245,7 +251,8 @@ def read_raw(
     Extracts of one layout share a scan; an extract of several layouts has one for each.
     ``files`` saves reading the footers again when :func:`file_layouts` is at hand.
     ``days`` names a time column and the first and last day wanted of it: a hint that skips
-    row groups, which doesn't replace a filter on the result.
+    row groups, which doesn't replace a filter on the result. ``undated`` keeps the rows
+    without that time.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     found = files if files is not None else file_layouts(spark, paths, fmt=fmt)
@@ -267,7 +274,7 @@ def read_raw(
     for chosen, base in scans:
         stored = _as_stored(spark, chosen, fmt, base)
         if days:
-            stored = _within(stored, *days)
+            stored = _within(stored, *days, undated)
         frame = conform(stored, declared)
         result = frame if result is None else result.unionByName(frame)
     return result
@@ -276,8 +283,11 @@ def read_raw(
 def read_dataset(
     spark: SparkSession, path: str, declared: T.StructType, *, fmt: str = "parquet"
 ) -> DataFrame:
-    """Any dataset for a stand-alone check; its layer's declared types, no inference."""
-    return conform(_as_stored(spark, path, fmt), declared)
+    """Any dataset for a stand-alone check, in its layer's declared types.
+
+    Its files may differ in columns and types: their layouts are read first, as for raw extracts.
+    """
+    return read_raw(spark, path, fmt=fmt, declared=declared)
 
 
 def export(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:

@@ -2,11 +2,13 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lockgate.sources.layers import write_layer
+from lockgate.sources.layers import merge_layer, write_layer
 
 DDL = "id int, pickup_date date, kind string"
 DAYS = [date(2026, 6, d) for d in range(1, 8)]
+LAYOUT = T.StructType().add("id", "integer").add("kind", "string").add("pickup_date", "date")
 
 
 def frame(spark, days, ident=1):
@@ -115,3 +117,56 @@ def test_a_day_that_holds_most_rows_is_written_by_several_tasks(spark, conf, tmp
     files = {p.name: len(list(p.glob("*.parquet"))) for p in path.glob("pickup_date=*")}
     assert files[f"pickup_date={DAYS[0]}"] > 4
     assert spark.read.parquet(str(path)).count() == 300_000
+
+
+def files_of(path, days):
+    return {p: p.stat().st_mtime_ns for day in days for p in path.glob(f"pickup_date={day}/*.parquet")}
+
+
+def test_a_late_row_joins_its_day_and_leaves_the_others_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    first = frame(spark, DAYS).unionByName(frame(spark, DAYS, 2))
+    write_layer(first, str(path))
+    others = files_of(path, [*DAYS[:4], *DAYS[5:]])
+    touched = merge_layer(frame(spark, [DAYS[4]], 3), str(path), LAYOUT)
+    assert touched == [(DAYS[4],)]
+    assert contents(spark, path) == {(d.day, i) for d in DAYS for i in (1, 2)} | {(5, 3)}
+    assert files_of(path, [*DAYS[:4], *DAYS[5:]]) == others
+
+
+def test_loads_may_come_in_any_order_and_twice(spark, tmp_path):
+    rows = [[(1, DAYS[0], "b"), (2, DAYS[0], None), (3, DAYS[1], "a")], [(1, DAYS[0], "a"), (2, DAYS[0], "z"), (4, None, "n")]]
+    loads = [spark.createDataFrame(r, DDL) for r in rows]
+    found = []
+    for number, order in enumerate([(0, 1), (1, 0), (0, 1, 0, 1)]):
+        path = str(tmp_path / str(number))
+        for load in order:
+            merge_layer(loads[load], path, LAYOUT, key="id")
+        found.append(sorted(map(str, spark.read.schema(DDL).parquet(path).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 4
+    assert any("id=1" in row and "kind='a'" in row for row in found[0])
+
+
+def test_without_a_key_only_equal_rows_are_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for kind in ("a", "b", "a"):
+        merge_layer(frame(spark, DAYS[:2]).withColumn("kind", F.lit(kind)), path, LAYOUT)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_merging_by_several_partition_columns_and_with_nothing(spark, tmp_path):
+    path, by = tmp_path / "t", ("pickup_date", "kind")
+    for ident, kind in ((1, "a"), (2, "a"), (3, None)):
+        rows = frame(spark, DAYS[:2], ident).withColumn("kind", F.lit(kind))
+        assert len(merge_layer(rows, str(path), LAYOUT, partition_by=by)) == 2
+    assert merge_layer(frame(spark, DAYS).limit(0), str(path), LAYOUT, partition_by=by) == []
+    assert contents(spark, path) == {(d.day, i) for d in DAYS[:2] for i in (1, 2, 3)}
+    with pytest.raises(ValueError, match="flat"):
+        merge_layer(frame(spark, DAYS), str(path), LAYOUT, partition_by=())
+
+
+def test_a_run_over_listed_days_clears_those_it_has_no_rows_for(spark, tmp_path):
+    path = tmp_path / "t"
+    write_layer(frame(spark, [*DAYS, None]), str(path))
+    write_layer(frame(spark, [DAYS[0]], 2), str(path), days=(DAYS[0], DAYS[3], None))
+    assert contents(spark, path) == {(1, 2), *((d.day, 1) for d in DAYS if d.day not in (1, 4))}

@@ -11,10 +11,14 @@ from checks import queries as q
 from checks.trips import DIRTY_FEED, trips
 from lockgate import layouts as L
 from lockgate.operators.drift import SchemaDriftError
-from lockgate.operators.evaluate import FAILURES
+from lockgate.operators.evaluate import FAILURES, as_measures, evaluate, measured_apart, results_of, route
 from lockgate.operators.gate import QualityGateFailed
+from lockgate.operators.mart import daily_zone_metrics
 from lockgate.operators.history import History
+from lockgate.operators.rules import RuleSet, row_count_at_least, unique
+from lockgate.operators.rulesets import bronze_ruleset, silver_ruleset
 from lockgate.operators.trend import compare_runs
+from lockgate.operators.trips import deduplicate, enrich
 from lockgate.plans import stages
 from lockgate.plans.config import RunConfig
 from lockgate.sources.layers import NothingToPublish
@@ -31,7 +35,7 @@ def feed(spark, folder, period=200, drop=()):
 
 
 def gold(spark, config):
-    rows = spark.read.schema(L.GOLD_LAYOUT).parquet(config.gold_path).collect()
+    rows = spark.read.schema(L.GOLD_LAYOUT).parquet(config.layer_path("gold")).collect()
     return {(row.pickup_date, row.pu_location_id): tuple(row) for row in rows}
 
 
@@ -46,9 +50,10 @@ def test_counts(spark, completed):
     _, config, result = completed
     counts = {r.stage: (r.rows_in, r.rows_out, r.rows_quarantined) for r in stages.stage_counts(spark, result).collect()}
     assert counts == {"bronze": (6134, 5923, 211), "silver": (5923, 5822, 0), "gold": (5822, 1381, 0)}
-    assert result.passed and result.gold_rows == len(gold(spark, config)) == 1381
+    assert result.passed and result["gold"].rows_out == len(gold(spark, config)) == 1381
+    assert list(result) == ["bronze", "silver", "gold"]
     with pytest.raises(KeyError, match="platinum"):
-        result.stage("platinum")
+        result["platinum"]
 
 
 def test_rejected_rows_are_kept_with_reasons_by_day(spark, completed):
@@ -68,7 +73,7 @@ def test_reports_layouts_and_history_are_recorded(spark, completed):
 
 def test_every_layer_is_partitioned_by_day(completed):
     _, config, _ = completed
-    for path in (config.bronze_path, config.silver_path, config.gold_path):
+    for path in (config.layer_path("bronze"), config.layer_path("silver"), config.layer_path("gold")):
         assert len(list(Path(path).glob("pickup_date=*"))) == 7
 
 
@@ -79,7 +84,7 @@ def test_a_backfill_replaces_its_day_and_a_rerun_changes_nothing(spark, complete
         config, input_path=feed(spark, folder, DIRTY_FEED), since=DAY, until=DAY, run_id="second", enforce_gates=False
     )
     result = stages.run_all(dirty, spark)
-    assert result.stages[0].rows_without_date == 0
+    assert result["bronze"].rows_without_date == 0
     after = gold(spark, config)
     assert {k: v for k, v in before.items() if k[0] != DAY} == {k: v for k, v in after.items() if k[0] != DAY}
     assert {k for k in before if before[k] != after.get(k)} and {k[0] for k in after} == {k[0] for k in before}
@@ -97,7 +102,7 @@ def test_a_blocked_run_leaves_its_report_and_publishes_nothing(spark, tmp_path):
     assert failed.value.stage == "bronze" and len(failed.value.errors) == 7
     assert '"passed":false' in spark.read.json(config.report_path("bronze")).first().document
     assert History(spark, config.history_path).entries().first().passed is False
-    assert not Path(config.bronze_path).exists() and not Path(config.quarantine_path("bronze")).exists()
+    assert not Path(config.layer_path("bronze")).exists() and not Path(config.quarantine_path("bronze")).exists()
 
 
 def test_a_missing_column_stops_the_run_before_it_reads(spark, tmp_path):
@@ -131,7 +136,7 @@ def test_quarantine_and_history_can_be_off(spark, tmp_path):
     )
     bronze = stages.run_bronze(config, spark)
     assert (bronze.rows_out, bronze.rows_quarantined) == (bronze.rows_in, 0)
-    assert not Path(config.history_path).exists() and not list(Path(config.bronze_path).glob("pickup_date=*"))
+    assert not Path(config.history_path).exists() and not list(Path(config.layer_path("bronze")).glob("pickup_date=*"))
 
 
 def test_trouble_with_the_history_does_not_break_a_run(spark, tmp_path):
@@ -146,3 +151,104 @@ def test_switches_are_checked():
         RunConfig("w", history_limit=0)
     with pytest.raises(ValueError, match="since must not be after until"):
         RunConfig("w", since=ABSENT, until=DAY)
+    with pytest.raises(ValueError, match="write_mode"):
+        RunConfig("w", write_mode="upsert")
+    with pytest.raises(ValueError, match="merging"):
+        RunConfig("w", write_mode="merge", replace_all=True)
+    with pytest.raises(ValueError, match="merging"):
+        RunConfig("w", write_mode="merge", partition_by=())
+
+
+def test_bronze_reads_the_raw_extract_in_one_write(spark, tmp_path, monkeypatch):
+    raw = feed(spark, tmp_path)
+    since = [r.tpep_pickup_datetime.date() >= DAY for r in trips(spark, SF).collect()].count(True)
+    record = stages._record
+
+    def recorded(*args):
+        # all rows are in the staging table by now; nothing may go back to the extract
+        for file in Path(raw).glob("*.parquet"):
+            file.unlink()
+        record(*args)
+
+    monkeypatch.setattr(stages, "_record", recorded)
+    result = stages.run_bronze(RunConfig(str(tmp_path / "w"), raw, since=DAY), spark)
+    assert (result.rows_in, result.rows_without_date) == (since, 0)
+    assert result.rows_out + result.rows_quarantined == since
+
+
+def test_silver_shuffles_by_trip_once(spark, capsys):
+    kept, _ = q.bronze_halves(spark, SF)
+    routed, _ = route(enrich(deduplicate(kept)), silver_ruleset(), keyed_by="trip_id")
+    routed.explain()
+    assert capsys.readouterr().out.count("Exchange ") == 1
+
+
+@pytest.mark.parametrize(
+    "rules", [bronze_ruleset, lambda: RuleSet("u", (), (unique("trip_id"), row_count_at_least(9)))]
+)
+def test_observed_counts_are_the_measured_ones(spark, rules):
+    ruleset = rules()
+    rows = q.shaped(spark, SF, DIRTY_FEED)
+    routed, seen = route(rows, ruleset)
+    routed.write.format("noop").mode("overwrite").save()
+    counts = dict(seen.get)
+    counts |= measured_apart(rows, ruleset, counts)
+    report = results_of(as_measures(spark, counts, ruleset), ruleset)
+    assert sorted(map(str, report.collect())) == sorted(map(str, evaluate(rows, ruleset).collect()))
+
+
+def test_surplus_copies_are_counted_where_they_are(spark):
+    rows = spark.createDataFrame([(i // 3 if i < 30 else None,) for i in range(40)], "k int").repartition("k")
+    routed, seen = route(rows, RuleSet("u", (), (unique("k"),)), keyed_by="k")
+    assert routed.count() == 40 and seen.get["metric_0"] == 20.0
+
+
+def test_the_mart_needs_no_sort_fallback_and_its_median_is_exact(spark, conf, capsys):
+    conf("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1")
+    zones = 10_000
+    rows = spark.range(0, 60_000, 1, 1).select(
+        F.lit(DAY).alias("pickup_date"),
+        F.when(F.col("id") % zones != 5, (F.col("id") % zones).cast("int")).alias("pu_location_id"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") * 37 % 101) / 4.0).alias("trip_duration_min"),
+        *(F.lit(1.0).alias(c) for c in ("total_amount", "trip_distance", "tip_pct")),
+        F.lit(True).alias("is_airport_trip"),
+    )
+    mart = daily_zone_metrics(rows, sort=False)
+    mart.explain()
+    plan = capsys.readouterr().out
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    values = {}
+    for row in rows.collect():
+        values.setdefault(row.pu_location_id, []).append(row.trip_duration_min)
+    found = {row.pu_location_id: row for row in mart.collect()}
+    assert set(found) == set(values) and len(found) == zones
+    for zone, minutes in values.items():
+        known = sorted(m for m in minutes if m is not None)
+        median = known[(len(known) - 1) // 2] if known else None
+        assert found[zone].trips == len(minutes)
+        assert found[zone].median_duration_min == (None if median is None else pytest.approx(median, abs=0.006))
+
+
+def test_late_rows_change_their_days_only(spark, tmp_path):
+    first, second = (replace(c, warehouse=str(tmp_path / "w")) for c in q.late_loads(spark, SF))
+    assert stages.run_all(first, spark)["gold"].days is not None
+
+    def written():
+        return {
+            p: p.stat().st_mtime_ns
+            for layer in ("bronze", "silver", "gold")
+            for p in Path(second.layer_path(layer)).glob("pickup_date=*/*.parquet")
+        }
+
+    before = written()
+    result = stages.run_all(second, spark)
+    days = {f"pickup_date=2026-06-0{d}" for d in q.LATE_DAYS}
+    assert {str(day) for day in result["silver"].days} == {d.partition("=")[2] for d in days}
+    kept = {p for p in before if p.parent.name not in days}
+    assert {p: written()[p] for p in kept} == {p: before[p] for p in kept}
+    assert not {p for p in before if p.parent.name in days} & set(written())
+    assert result["silver"].rows_in > second_load_rows(spark, second)
+
+
+def second_load_rows(spark, config):
+    return spark.read.parquet(config.input_path).count()
