@@ -135,17 +135,32 @@ def mixed_documents(
 
     A document comes once for each whole take. The one at the edge comes once more when
     the budget holds at least half of it: rows stay whole texts.
+
+    Sampling sees ids, sizes and two hashes of the whole row; rows meet their number of
+    copies once, at the end. Rows that are equal in every column share their copies, and
+    one of them stands for all.
     """
-    names = docs.columns
-    held = [F.struct(*(F.col(f"`{c}`") for c in names)).alias("__row")]
-    inner = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
-                        F.col(source_col).alias("__source"), *held)
-    taken = mix(inner, "__id", "__text", "__source", carry=("__row",))
+    work = Work(docs.sparkSession, "mixed")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(row.alias("row")).select(
+        "row", F.xxhash64("row").alias("k1"), F.xxhash64(F.lit(7), F.col("row")).alias("k2")
+    )
+    narrow = rows.select(
+        F.col("row")[id_col].alias("id"),
+        F.col("row")[text_col].alias("text"),
+        F.col("row")[source_col].alias("source"),
+        "k1",
+        "k2",
+    )
+    taken = mix(narrow, "id", "text", "source", carry=("k1", "k2"))
     edge = F.when(F.col("part") * 2 >= F.greatest("size", F.lit(1)), 1).otherwise(0)
-    times = F.expr("sequence(1, cast(n as int))")
-    return (
-        taken.withColumn("n", F.col("copies") + edge)
-        .filter("n > 0")
-        .select("__row", F.explode(times))
-        .select("__row.*")
+    times = taken.groupBy("k1", "k2").agg(
+        F.sum(F.col("copies") + edge).cast("int").alias("times"), F.count("*").alias("equal")
     )
+    times = work.write(times.filter("times > 0"), "times")
+    once, repeated = times.filter("equal = 1"), times.filter("equal > 1")
+    found = rows.join(once, ["k1", "k2"]).select("row", "times")
+    if not repeated.isEmpty():
+        some = rows.join(repeated, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+        found = found.unionByName(some.select("row", "times"))
+    return found.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
