@@ -664,6 +664,29 @@ def oracle() -> dict[str, str]:
             f" UNION ALL SELECT 'unknown', stage, run_id FROM {RUNS} WHERE run_id LIKE '20260607%'"
         ),
         "history_prune": v(f"SELECT * FROM {RUNS} WHERE recorded_at >= '2026-06-05'"),
+        "history_unreadable": v(
+            "SELECT 'unreadable' AS state, 'bronze' AS stage, '20260602T000000Z' AS run_id"
+            f" UNION ALL SELECT 'kept', stage, run_id FROM {RUNS} WHERE recorded_at >= '2026-06-05'"
+        ),
+        "history_stages": v(f"SELECT DISTINCT stage FROM {RUNS}"),
+        "trend_document": v(
+            "SELECT stage, count(*) FILTER (WHERE kind = 'regressed') OVER s AS regression_count,"
+            " count(*) FILTER (WHERE kind = 'regressed') OVER s = 0 AS stable,"
+            " current_rows - previous_rows AS row_delta, rule, kind, current_pass_rate, severity"
+            f" FROM {TREND_LATEST} WINDOW s AS (PARTITION BY stage)"
+        ),
+        "regression_gate": v(
+            "SELECT 'changed' AS compared, CASE WHEN count(*) = 0 THEN 'passed'"
+            " ELSE 'bronze: ' || count(*) || ' rules' END AS outcome"
+            f" FROM {TREND} WHERE kind = 'regressed' UNION ALL SELECT 'same', 'passed'"
+        ),
+        "window_validation": v(
+            "SELECT min(pickup_date) AS since, max(pickup_date) AS until, count(*) AS trips,"
+            " 'read' AS outcome FROM shaped UNION ALL"
+            " SELECT max(pickup_date), min(pickup_date), 0, 'refused' FROM shaped UNION ALL"
+            " SELECT max(pickup_date), CAST(NULL AS DATE), count(*) FILTER (WHERE pickup_date ="
+            " (SELECT max(pickup_date) FROM shaped)), 'read' FROM shaped"
+        ),
         "rule_trend": v(f"SELECT * FROM {TREND}"),
         "rule_trend_latest": v(f"SELECT * FROM {TREND_LATEST}"),
         "trend_summary": v(TREND_SUMMARY),

@@ -30,6 +30,7 @@ from lockgate.operators.rulesets import bronze_ruleset, gold_ruleset, silver_rul
 from lockgate.operators.trips import (
     add_pickup_date,
     add_trip_id,
+    between_dates,
     clean,
     deduplicate,
     enrich,
@@ -590,6 +591,59 @@ def history_prune(spark, sf_dir):
     return _flat_verdicts(past.entries())
 
 
+def history_unreadable(spark, sf_dir):
+    """One run whose file is no report: named, passed over, and gone with the retention."""
+    past = store(spark, sf_dir)
+    broken = f"{past.path}/stage=bronze/run_id=20260602T000000Z"
+    spark.range(1).selectExpr("'no report' AS value").write.mode("overwrite").text(broken)
+    found = [("unreadable", *run) for run in past.unreadable()]
+    past.prune(3)
+    found += [("left", *run) for run in past.unreadable()]
+    named = spark.createDataFrame(found, "state string, stage string, run_id string")
+    return named.unionByName(past.entries().select(F.lit("kept").alias("state"), "stage", "run_id"))
+
+
+def history_stages(spark, sf_dir):
+    return store(spark, sf_dir).stages()
+
+
+def trend_document(spark, sf_dir):
+    """What the JSON record of a trend says, read back from its text."""
+    rule = "struct<name: string, kind: string, current_pass_rate: double, severity: string>"
+    layout = f"regression_count bigint, stable boolean, row_delta bigint, rules array<{rule}>"
+    summary = trend.trend_summary(trend.compare_runs(store(spark, sf_dir).results()))
+    read = summary.select("stage", F.from_json("document", layout).alias("d"))
+    read = read.select("stage", "d.regression_count", "d.stable", "d.row_delta", F.explode("d.rules").alias("r"))
+    return read.select("*", "r.*").drop("r").withColumnRenamed("name", "rule")
+
+
+def regression_gate(spark, sf_dir):
+    past = trend.trend_summary(two_reports(spark, sf_dir))
+    same = bronze_report(spark, sf_dir)
+    steady = trend.compare_reports(*(same.withColumn("run_id", F.lit(r)) for r in ("one", "two")))
+    outcomes = []
+    for name, summary in (("changed", past), ("same", trend.trend_summary(steady))):
+        try:
+            trend.block_on_regression(summary)
+            outcomes.append((name, "passed"))
+        except trend.QualityRegressed as moved:
+            outcomes.append((name, str(moved)))
+    return spark.createDataFrame(outcomes, "compared string, outcome string")
+
+
+def window_validation(spark, sf_dir):
+    """The days of the feed as a window, forwards and backwards."""
+    rows = shaped(spark, sf_dir)
+    first, last = rows.agg(F.min(L.PARTITION), F.max(L.PARTITION)).first()
+    outcomes = []
+    for since, until in ((first, last), (last, first), (last, None)):
+        try:
+            outcomes.append((since, until, between_dates(rows, since, until).count(), "read"))
+        except ValueError:
+            outcomes.append((since, until, 0, "refused"))
+    return spark.createDataFrame(outcomes, "since date, until date, trips bigint, outcome string")
+
+
 def changed_rules() -> RuleSet:
     """The bronze rules with one taken away and one added."""
     rules = [r for r in bronze_ruleset().row_rules if r.name != "non_negative[tip_amount]"]
@@ -727,6 +781,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "history_entries": history_entries,
         "history_latest": history_latest,
         "history_prune": history_prune,
+        "history_unreadable": history_unreadable,
+        "history_stages": history_stages,
+        "trend_document": trend_document,
+        "regression_gate": regression_gate,
+        "window_validation": window_validation,
         "rule_trend": rule_trend,
         "rule_trend_latest": rule_trend_latest,
         "trend_summary": trend_summary,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+from collections import Counter
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,8 @@ from lockgate.operators.evaluate import RESULT_FIELDS
 from lockgate.operators.gate import verdicts
 from lockgate.sources import storage
 
+log = logging.getLogger(__name__)
+
 RUN = ("stage", "run_id")
 DEFAULT_KEEP = 30
 
@@ -134,26 +138,47 @@ class History:
     def latest(self, *, before: str | None = None) -> DataFrame:
         return latest(self.results(), before=before)
 
+    def unreadable(self) -> list[tuple[str, str]]:
+        """(stage, run_id) of recorded runs that :meth:`results` has to pass over.
+
+        Told by directory names, of which there are as many as retention leaves.
+        """
+        held = {tuple(row) for row in self.results().select(*RUN).distinct().collect()}
+        return [run for run, _ in self._directories() if run not in held]
+
+    def _directories(self, stage: str | None = None) -> list[tuple[tuple[str, str], str]]:
+        return [
+            ((name, run_id), directory)
+            for name, path in storage.partitions(self.spark, self.path, "stage")
+            if stage in (None, name)
+            for run_id, directory in storage.partitions(self.spark, path, "run_id")
+        ]
+
     def prune(self, keep: int = DEFAULT_KEEP, stage: str | None = None) -> list[tuple[str, str]]:
         """Drops all but the newest ``keep`` runs per stage; returns what went.
 
-        The list holds run names only, and is as long as what was removed.
+        A run that cannot be read has no age. It is logged, and goes once its id sorts before
+        those of all runs that stay. The list holds run names only, and is as long as what was
+        removed.
         """
         if keep < 0:
             raise ValueError(f"keep must be non-negative: {keep}")
-        stored = [
-            (name, storage.partitions(self.spark, path, "run_id"))
-            for name, path in storage.partitions(self.spark, self.path, "stage")
-            if stage in (None, name)
-        ]
-        stored = [(name, directories) for name, directories in stored if len(directories) > keep]
-        if not stored:
+        directories = dict(self._directories(stage))
+        sizes = Counter(name for name, _ in directories)
+        crowded = [name for name, size in sizes.items() if size > keep]
+        if not crowded:
             return []
-        found = self.results().filter(F.col("stage").isin([name for name, _ in stored]))
+        found = self.results().filter(F.col("stage").isin(crowded))
         doomed = beyond_newest(found, keep).orderBy("stage", *_AGE)
-        removed = [(row.stage, row.run_id) for row in doomed.select(*RUN).collect()]
-        for name, directories in stored:
-            for run_id, directory in directories:
-                if (name, run_id) in removed:
-                    storage.delete(self.spark, directory)
+        removed = [tuple(row) for row in doomed.select(*RUN).collect()]
+        held = {tuple(row) for row in found.select(*RUN).distinct().collect()}
+        for run in sorted(set(directories) - held):
+            if run[0] not in crowded:
+                continue
+            log.warning("run %s of %s cannot be read", run[1], run[0])
+            staying = [run_id for name, run_id in held - set(removed) if name == run[0]]
+            if len(staying) >= keep and all(run[1] < run_id for run_id in staying):
+                removed.append(run)
+        for run in removed:
+            storage.delete(self.spark, directories[run])
         return removed
