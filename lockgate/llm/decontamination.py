@@ -78,10 +78,13 @@ def winnowed(rows: DataFrame, span: int, label: str) -> DataFrame:
             F.get(F.col(grams), q).alias("v"),
             q.alias("q"),
             first(q).alias("s"),
-            F.slice(F.col("words"), first(q) + 1, F.lit(span + w - 1)).alias("near"),
+            # word by word: a slice would go over the whole text for each fingerprint
+            F.array_compact(F.array(*_ahead(F.col("words"), first(q), span + w - 1))).alias("near"),
         ),
     )
-    return rows.withColumn(label, F.when(n >= span, found)).drop(grams, least)
+    # named twice, the array of k-grams stays a step of its own; else it could be worked out
+    # again for each of its elements
+    return rows.withColumn(label, F.when(F.size(grams) > 0, found)).drop(grams, least)
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
@@ -94,8 +97,9 @@ def windows(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> Da
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), words(F.col(text_col)).alias("words")
     ).filter(F.size("words") > 0)
     m = F.least(F.size("words"), F.lit(window))
-    starts = F.sequence(F.lit(1), F.size("words") - m + 1)
-    phrases = F.transform(starts, lambda i: F.array_join(F.slice(F.col("words"), i, m), " "))
+    starts = F.sequence(F.lit(0), F.size("words") - m)
+    # words beyond the end of a short item are null, which the text leaves out
+    phrases = F.transform(starts, lambda i: F.concat_ws(" ", *_ahead(F.col("words"), i, window)))
     return items.select(m.alias("m"), F.explode(phrases).alias("phrase"), "item").distinct()
 
 
