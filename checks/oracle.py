@@ -703,6 +703,9 @@ def oracle() -> dict[str, str]:
             "SELECT trip_id, dq_failures, pickup_date FROM (SELECT DISTINCT"
             f" {BRONZE_COLUMNS}, dq_failures FROM rejected WHERE {ARRIVED})"
         ),
+        "quarantine_after_clean_rerun": v(
+            "SELECT trip_id, dq_failures, pickup_date FROM rejected WHERE day(pickup_date) NOT IN (2, 4)"
+        ),
         "undated_rows": v(UNDATED),
         "check_mixed_files": v(f"SELECT * FROM {BRONZE_REPORT}"),
         "run_no_gates": dirty(f"SELECT * FROM {dirty_gold}"),

@@ -290,6 +290,21 @@ def late_rows_quarantine(spark, sf_dir):
     return reasons(rejected).select("trip_id", "dq_failures", F.col(L.PARTITION).cast("date"))
 
 
+def quarantine_after_clean_rerun(spark, sf_dir):
+    """Two days are loaded again, without a window and without faults: their quarantine goes."""
+    settings = config(spark, sf_dir, enforce_gates=False)
+    stages.run_bronze(settings, spark)
+    feed = instants(trips(spark, sf_dir))
+    again = F.dayofmonth(utc_clock(feed, TIMES[0])).isin(*LATE_DAYS)
+    sound = (F.col(TIMES[1]) > F.col(TIMES[0])) & (F.col("trip_distance") < 100)
+    sound &= (F.col("PULocationID") < 999) & (F.col("payment_type") < 99) & (F.col("fare_amount") >= 0)
+    path = scratch_path(spark, "mended")
+    export(feed.filter(again & sound), path)
+    stages.run_bronze(RunConfig(settings.warehouse, path, enforce_gates=False), spark)
+    rejected = spark.read.parquet(settings.quarantine_path("bronze"))
+    return reasons(rejected).select("trip_id", "dq_failures", F.col(L.PARTITION).cast("date"))
+
+
 def undated_rows(spark, sf_dir):
     """Trips without a pickup time, which a window cannot select: counted in the same pass."""
     feed = instants(trips(spark, sf_dir))
@@ -741,6 +756,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "late_rows_merge": late_rows_merge,
         "late_rows_bronze": late_rows_bronze,
         "late_rows_quarantine": late_rows_quarantine,
+        "quarantine_after_clean_rerun": quarantine_after_clean_rerun,
         "undated_rows": undated_rows,
         "publish_guard": publish_guard,
         "normalize": lambda spark, sf_dir: normalize(trips(spark, sf_dir)),

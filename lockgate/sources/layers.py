@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Collection, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
@@ -15,7 +16,7 @@ from lockgate.layouts import PARTITION
 from lockgate.operators.trips import deduplicate
 from lockgate.sources import storage
 
-#: Partition directories looked at concurrently.
+#: Partition directories listed or moved concurrently.
 LISTERS = 32
 
 
@@ -53,38 +54,97 @@ def _arranged(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.repartition(tasks, *[F.col(c) for c in partition_by], salt)
 
 
-def _marks(spark: SparkSession, path: str, depth: int, **window) -> dict[str, str]:
-    """One data file of every partition directory in the window: {directory: file}.
+def _leaves(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Names below ``root`` of its partition directories, or of its files if it is flat.
 
     Directories are listed side by side, because an object store answers each
     listing slowly but many at once.
     """
 
-    def inside(directory: str) -> list[tuple[str, str, bool]]:
-        return storage.children(spark, directory)
+    def inside(name: str) -> list[tuple[str, bool]]:
+        listed = storage.children(spark, f"{root}/{name}" if name else root)
+        return [(f"{name}/{child}" if name else child, is_dir) for child, _, is_dir in listed]
 
+    if not depth:
+        return [name for name, _ in inside("") if name[0] not in "._"]
     with ThreadPoolExecutor(LISTERS) as pool:
-        level = [path]
+        level = [""]
         for _ in range(depth):
             entries = [entry for listed in pool.map(inside, level) for entry in listed]
-            level = [child for name, child, is_dir in entries if is_dir and "=" in name]
-        level = [directory for directory in level if _in_window(directory, **window)]
-        found = {}
-        for directory, entries in zip(level, pool.map(inside, level)):
-            files = [p for name, p, is_dir in entries if not is_dir and name[0] not in "._"]
-            if files:
-                found[directory] = files[0]
+            level = [name for name, is_dir in entries if is_dir and "=" in name.rpartition("/")[2]]
+    return level
+
+
+#: What a table's own replacements keep below it; readers pass over names that begin so.
+_PENDING = "_pending"
+_STEPS = "place boolean, name string"
+
+
+def settle(spark: SparkSession, path: str) -> bool:
+    """Finishes a replacement that a run had recorded but did not live to carry out.
+
+    Says whether there was one. Rows written beside the table without a record belong to a
+    run that died before it had all of them; they go. Every write settles its table first,
+    and so does a stage before it reads. A table has one writer at a time: settling while
+    another run still replaces partitions of it would take its steps from under it.
+    """
+    found = False
+    for _, beside, _ in storage.children(spark, f"{path}/{_PENDING}"):
+        if storage.exists(spark, f"{beside}/steps"):
+            found = True
+            _carry_out(spark, path, beside)
+    storage.delete(spark, f"{path}/{_PENDING}")
     return found
 
 
-def _drop_unreplaced(spark: SparkSession, marks: dict[str, str]) -> None:
-    def check(item: tuple[str, str]) -> None:
-        directory, mark = item
-        if storage.exists(spark, mark):
-            storage.delete(spark, directory)
+def _carry_out(spark: SparkSession, path: str, beside: str) -> None:
+    """Takes the recorded steps; those that an earlier attempt took are passed over."""
+
+    def take(step: tuple[bool, str]) -> None:
+        place, name = step
+        rows, target = f"{beside}/rows/{name}", f"{path}/{name}"
+        if not place:
+            storage.delete(spark, target)
+        elif storage.exists(spark, rows):
+            storage.delete(spark, target)
+            storage.move(spark, rows, target)
 
+    steps = spark.read.schema(_STEPS).json(f"{beside}/steps").collect()
     with ThreadPoolExecutor(LISTERS) as pool:
-        list(pool.map(check, marks.items()))
+        list(pool.map(take, map(tuple, steps)))
+
+
+def _put(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame | None,
+    partition_by: Sequence[str],
+    drop: Collection[str] = (),
+) -> None:
+    """Replaces the partitions that ``rows`` has, and removes those of ``drop`` that it has not.
+
+    The rows are written beside the table; then the names to place and to remove are
+    recorded, which decides the replacement; then the steps are taken. A run that dies
+    before the record leaves the table as it was, one that dies after it leaves the rest
+    to ``settle``. The record appears by one rename, and partitions move by renames.
+    """
+    beside = f"{path}/{_PENDING}/{uuid.uuid4().hex}"
+    placed: list[str] = []
+    if rows is not None:
+        writer = _arranged(rows, partition_by).write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(f"{beside}/rows")
+        placed = _leaves(spark, f"{beside}/rows", len(partition_by))
+    steps = [(True, name) for name in placed]
+    steps += [(False, name) for name in sorted(set(drop).difference(placed))]
+    if steps:
+        # one name for each partition that the run answers for
+        record = spark.createDataFrame(steps, _STEPS)
+        record.coalesce(1).write.json(f"{beside}/steps.open")
+        storage.move(spark, f"{beside}/steps.open", f"{beside}/steps")
+        _carry_out(spark, path, beside)
+    storage.delete(spark, f"{path}/{_PENDING}")
 
 
 def _in_window(
@@ -118,29 +178,33 @@ def write_layer(
 ) -> None:
     """Replaces the partitions a run answers for, and no others.
 
-    Dynamic overwrite replaces the partitions present in ``df``. A run without a
-    window answers for the days it brings, so loads of different days add up. A
-    run with a window answers for all of it: a partition inside that ``df`` no
-    longer has is removed. The same holds for a run over a list of ``days``. An open end reaches as far as the data, and
-    ``replace_all`` makes a run answer for every partition there is. Removal
-    follows the write, so a run that dies between the two leaves the old
-    partitions beside the new ones, and a rerun removes them. Such a partition is
-    known by still holding a file it held before the write. Only directory names
-    and one file name each pass through the driver.
-
-    ``empty`` says that ``df`` is known to have no rows, which saves the scan.
+    The partitions present in ``df`` are replaced. A run without a window answers for
+    the days it brings, so loads of different days add up. A run with a window answers
+    for all of it: a partition inside that ``df`` no longer has is removed. The same
+    holds for a run over a list of ``days``. An open end reaches as far as the data, and
+    ``replace_all`` makes a run answer for every partition there is. Only directory names
+    pass through the driver. A run that dies leaves the old table, or one that ``settle``
+    finishes: see there.
+
+    ``mode="append"`` adds files and replaces nothing. ``empty`` says that ``df`` is known
+    to have no rows, which saves the scan.
     """
     spark = df.sparkSession
-    if not partition_by:
-        df.write.mode(mode).parquet(path)
+    settle(spark, path)
+    if mode != "overwrite":
+        writer = _arranged(df, partition_by).write.mode(mode)
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         return
-    before = {}
-    if mode == "overwrite" and (since or until or replace_all or days is not None):
-        before = _marks(spark, path, len(partition_by), since=since, until=until, days=days)
-    if not empty:
-        writer = _arranged(df, partition_by).write.mode(mode).partitionBy(*partition_by)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    _drop_unreplaced(spark, before)
+    before: list[str] = []
+    if not partition_by:
+        before = _leaves(spark, path, 0)
+    elif since or until or replace_all or days is not None:
+        before = [
+            name
+            for name in _leaves(spark, path, len(partition_by))
+            if _in_window(name, since=since, until=until, days=days)
+        ]
+    _put(spark, path, None if empty and partition_by else df, partition_by, before)
 
 
 def touched_by(df: DataFrame, partition_by: Sequence[str] = (PARTITION,)) -> list[tuple]:
@@ -181,7 +245,9 @@ def merge_layer(
     a key, rows are one when all their columns agree. A partition that is not there yet is
     merged with nothing. ``touched`` saves the scan that finds the partitions.
 
-    ``df`` is read more than once unless ``touched`` is given; it must not read ``path``.
+    A run that dies leaves the partitions as they were, or ``settle`` finishes them.
+
+    ``df`` is read more than once unless ``touched`` is given.
     """
     if not partition_by:
         raise ValueError("a flat layer is replaced whole; there are no partitions to merge into")
@@ -189,11 +255,11 @@ def merge_layer(
     touched = touched_by(df, partition_by) if touched is None else list(touched)
     if not touched:
         return touched
+    settle(spark, path)
     rows = df.select(*layout.fieldNames())
     if storage.exists(spark, path):
         there = read_layer(spark, path, layout).filter(_in_any(touched, partition_by))
         rows = there.unionByName(rows)
     rows = deduplicate(rows, key) if key else rows.distinct()
-    writer = _arranged(rows, partition_by).write.mode("overwrite").partitionBy(*partition_by)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    _put(spark, path, rows, partition_by)
     return touched

@@ -61,6 +61,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a file or directory, whose new place must be free."""
+    fs, handle = _hadoop(spark, source)
+    _, place = _hadoop(spark, target)
+    fs.mkdirs(place.getParent())
+    if not fs.rename(handle, place):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def children(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
     """(name, path, is a directory) of everything directly under ``path``."""
     fs, handle = _hadoop(spark, path)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lockgate.sources.layers import merge_layer, write_layer
+from lockgate.sources import storage
+from lockgate.sources.layers import merge_layer, settle, write_layer
 
 DDL = "id int, pickup_date date, kind string"
 DAYS = [date(2026, 6, d) for d in range(1, 8)]
@@ -170,3 +171,80 @@ def test_a_run_over_listed_days_clears_those_it_has_no_rows_for(spark, tmp_path)
     write_layer(frame(spark, [*DAYS, None]), str(path))
     write_layer(frame(spark, [DAYS[0]], 2), str(path), days=(DAYS[0], DAYS[3], None))
     assert contents(spark, path) == {(1, 2), *((d.day, 1) for d in DAYS if d.day not in (1, 4))}
+
+
+class Died(Exception):
+    pass
+
+
+def dies(monkeypatch, name, calls):
+    """The run ends in call number ``calls`` of a step of the file system."""
+    whole, left = getattr(storage, name), [calls]
+
+    def step(*args):
+        left[0] -= 1
+        if not left[0]:
+            raise Died
+        return whole(*args)
+
+    monkeypatch.setattr(storage, name, step)
+
+
+def leftovers(path):
+    return [p for p in path.iterdir() if p.name.startswith("_")]
+
+
+@pytest.mark.parametrize("calls", range(1, 5))
+def test_a_run_that_dies_is_finished_by_the_next_or_never_was(spark, monkeypatch, tmp_path, calls):
+    path = tmp_path / "t"
+    write_layer(frame(spark, DAYS), str(path))
+    with monkeypatch.context() as m:
+        dies(m, "move", calls)  # the first call records the steps, the others take them
+        with pytest.raises(Died):
+            write_layer(frame(spark, DAYS[1:4], 2), str(path), since=DAYS[0], until=DAYS[4])
+    after = {(2, 2), (3, 2), (4, 2), (6, 1), (7, 1)}
+    assert settle(spark, str(path)) == (calls > 1)
+    assert contents(spark, path) == (after if calls > 1 else {(d.day, 1) for d in DAYS})
+    assert not settle(spark, str(path)) and not leftovers(path)
+
+
+@pytest.mark.parametrize("calls", (1, 2, 3))
+def test_dying_again_while_finishing(spark, monkeypatch, tmp_path, calls):
+    path = tmp_path / "t"
+    write_layer(frame(spark, DAYS), str(path))
+    with monkeypatch.context() as m:
+        dies(m, "move", 2)
+        with pytest.raises(Died):
+            write_layer(frame(spark, DAYS[1:4], 2), str(path), replace_all=True)
+    with monkeypatch.context() as m:
+        dies(m, "delete", calls)
+        with pytest.raises(Died):
+            settle(spark, str(path))
+    # the next write finishes it before it does its own
+    write_layer(frame(spark, [DAYS[1]], 3), str(path))
+    assert contents(spark, path) == {(2, 3), (3, 2), (4, 2)} and not leftovers(path)
+
+
+def test_a_merge_and_a_flat_write_that_die_lose_nothing(spark, monkeypatch, tmp_path):
+    days, flat = tmp_path / "days", tmp_path / "flat"
+    write_layer(frame(spark, DAYS), str(days))
+    write_layer(frame(spark, DAYS), str(flat), partition_by=())
+    with monkeypatch.context() as m:
+        dies(m, "move", 2)
+        with pytest.raises(Died):
+            merge_layer(frame(spark, DAYS[:2], 2), str(days), LAYOUT)
+    with monkeypatch.context() as m:
+        dies(m, "delete", 2)
+        with pytest.raises(Died):
+            write_layer(frame(spark, DAYS[:1], 2), str(flat), partition_by=())
+    assert settle(spark, str(days)) and settle(spark, str(flat))
+    assert contents(spark, days) == {(d.day, 1) for d in DAYS} | {(1, 2), (2, 2)}
+    assert contents(spark, flat) == {(1, 2)}
+
+
+def test_a_layer_can_be_replaced_by_what_is_read_from_it(spark, tmp_path):
+    path = tmp_path / "t"
+    write_layer(frame(spark, DAYS), str(path))
+    rows = spark.read.schema(DDL).parquet(str(path)).filter(F.dayofmonth("pickup_date") < 4)
+    write_layer(rows, str(path), replace_all=True)
+    assert contents(spark, path) == {(1, 1), (2, 1), (3, 1)}
