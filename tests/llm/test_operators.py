@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from lockgate.llm import (
     exact_dedup,
@@ -137,6 +138,42 @@ def test_exact_groups(docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(min(g) for g in groups.values())
 
 
+def test_the_directory_of_the_index_decides(spark, docs):
+    work = Work(spark, "directory")
+    index, found = exact_dedup.dedup_index(docs, work, bucket_keys=3, start_depth=1)
+    entries, slots = index.collect(), found.slots.collect()
+    # buckets are cut as deep as they need, and no deeper
+    sizes = Counter((r.depth, r.bucket) for r in entries)
+    assert max(sizes.values()) <= 3 and len({depth for depth, _ in sizes}) > 1
+    for depth, bucket in sizes:
+        above = sum(1 for r in entries if (r.key % 2**64) >> (65 - depth) == bucket >> 1)
+        assert depth == 1 or above > 3
+    for r in slots:
+        assert r.bucket == r.slot >> (found.bits - r.depth)
+    texts = docs.select(F.col("doc_id").alias("id"), exact_dedup.normalised(F.col("text")).alias("norm"))
+    texts = texts.select("id", F.xxhash64("norm").alias("key"), "norm")
+    groups = exact_dedup.chained(texts, found)
+    assert groups.agg(F.sum("group_size")).first()[0] == len(ROWS)
+    # a directory that lacks a slot, or names two buckets for one, loses rows or splits chains
+    slot = slots[0].slot
+    lacking = exact_dedup.Directory(found.slots.filter(F.col("slot") != slot), found.bits)
+    assert exact_dedup.chained(texts, lacking).agg(F.sum("group_size")).first()[0] < len(ROWS)
+    double = found.slots.unionByName(found.slots.withColumn("bucket", -1 - F.col("bucket")))
+    assert exact_dedup.chained(texts, exact_dedup.Directory(double, found.bits)).count() == 2 * len(entries)
+
+
+def test_a_directory_doubles_until_its_buckets_fit(spark):
+    work = Work(spark, "doubling")
+    # keys that differ in their last bits only
+    keys = spark.range(40).select((F.col("id") + 5_000_000_000).alias("key"))
+    found = exact_dedup.directory(keys, work, bucket_keys=3, start_depth=4)
+    assert found.bits == 64
+    rows = found.look_up(keys).collect()
+    assert len(rows) == 40 and max(Counter((r.depth, r.bucket) for r in rows).values()) <= 3
+    with pytest.raises(ValueError, match="bits"):
+        exact_dedup.directory(keys, work, 3, start_depth=0)
+
+
 def test_repeated_strings(docs):
     seen, expected = set(), {}
     for i, t, *_ in ROWS:
