@@ -5,13 +5,16 @@ and labels every position; states start anew at white space and after ``SPAN`` b
 document's probabilities are the pooled log probabilities of all its positions. It is
 written in numpy and trained by backpropagation through time with Adam.
 
-Training uses a bounded sample: the words of ``sample_docs`` documents (default 4,000) of
-smallest id hash, at most ``sample_words`` distinct words for each language (20,000).
-Labelling covers every byte of every text; a word is labelled once and remembered, in a
+Training uses a bounded sample of each language: the words of ``sample_docs`` documents
+(default 1,000) of smallest id hash, cut into spans as in labelling, and at most
+``sample_words`` distinct spans of them (20,000). A language is learnt however rare it is
+beside the others. Labelling covers every byte of every text; a word is labelled once and remembered, in a
 memory of ``MEMORY`` words for each Python worker.
 
 Null texts and texts without a letter are ``und`` with score 0; so is every text when no
-labelled row exists. Ties go to the first language in code point order.
+labelled row exists. Ties go to the first language in code point order. Repeated rows are
+labelled each; of an id with several languages each counts for its own. Very long texts are
+read whole. An empty table gives no rows. Other columns of the caller are not looked at.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lockgate.llm.common import Work, lowered, remainder, words
@@ -208,7 +211,7 @@ def learn(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    sample_docs: int = 4_000,
+    sample_docs: int = 1_000,
     sample_words: int = 20_000,
 ) -> Network | None:
     """Train on documents whose id remainder by 3 is not 1; None without a labelled row."""
@@ -216,26 +219,31 @@ def learn(
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter((remainder("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    picked = (
-        rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(sample_docs)
+    place = F.row_number().over(
+        Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id")
     )
-    # at most sample_docs numbers
-    sample = rows.join(F.broadcast(picked), "doc_id")
+    picked = rows.select("lang", "doc_id").distinct().withColumn("place", place)
+    # written, so that its size decides how it is joined
+    picked = work.write(picked.filter(F.col("place") <= sample_docs).drop("place"), "picked")
+    sample = rows.join(picked, ["lang", "doc_id"])
     # digits and signs alone say nothing
-    counts = (
+    own = (
         sample.select("lang", F.explode(words(lowered(F.col("text")))).alias("word"))
         .filter(F.col("word").rlike(r"\p{L}"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
+        .select("lang", "n", F.col("word").cast("binary").alias("word"))
+    )
+    starts = F.sequence(F.lit(0), F.octet_length("word") - 1, F.lit(SPAN))
+    spans = own.select("lang", "n", "word", F.explode(starts).alias("start"))
+    counts = (
+        spans.groupBy("lang", F.expr(f"substring(word, start + 1, {SPAN})").alias("span"))
+        .agg(F.sum("n").alias("n"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("span", "lang"), "span")))
     )
-    counts = work.write(counts, "words")
-    examples: list[tuple[str, bytes, int]] = []
-    for (lang,) in counts.select("lang").distinct().collect():
-        own = counts.filter(F.col("lang") == lang).orderBy(F.xxhash64("word", "lang"), "word")
-        examples.extend(
-            (lang, r.word.encode()[:SPAN], r.n) for r in own.limit(sample_words).collect()
-        )
-    work.drop("words")
+    held = counts.filter(F.col("place") <= sample_words).orderBy("lang", "place").collect()
+    examples = [(r.lang, bytes(r.span), r.n) for r in held]
+    work.drop("picked")
     return train(examples) if examples else None
 
 

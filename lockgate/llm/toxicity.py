@@ -11,8 +11,11 @@ their own. A logistic model over these sums gives the score.
 
 Lexicon and model are fitted on a bounded sample: ``sample_toxic`` and ``sample_clean``
 labelled rows of smallest id hash (defaults 6,000 and 12,000), half of it for the lexicon
-and half for the model. Null and empty texts have no match and get the model's score for
-none. Without labels of both kinds every score is 0. Labels that are null are left out.
+and half for the model; of entries that pass ``purity`` the ``most_terms`` (5,000) of highest
+odds are taken. Words are matched whole, however long. Null and empty texts have no match and get the model's score for
+none. Without labels of both kinds every score is 0. Labels that are null are left out;
+of several labels for an id the highest counts. Repeated rows are scored each. An empty
+table gives no rows. Other columns of the caller are not looked at.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from lockgate.llm.common import Work, remainder
 WORD = re.compile(r"[^\W_]+")
 WINDOW = 6
 MEMORY = 400_000
+#: An automaton is started anew, between two words, beyond so many moves or states.
+MOVES, STATES = 2_000_000, 200_000
 #: Fixed words that mark a report of someone else's words, and words that address a reader.
 REPORTING = frozenset("said says wrote writes quoted quote quotes called cited reported "
                       "dijo llamó schrieb sagte nannte zitierte écrit dit appelé cité".split())
@@ -131,10 +136,14 @@ class Automaton:
                     after[node] = edits + 1
             stem = self.sure[state]
             move = self._state(after, stem) if after or stem else -1
-            if len(self.moves) < 2_000_000:
-                self.moves[state, char] = move
+            self.moves[state, char] = move
         return move
 
+    @property
+    def large(self) -> bool:
+        """Whether it has grown so far that a new one should take its place."""
+        return len(self.moves) > MOVES or len(self.states) > STATES
+
     def match(self, word: str) -> tuple[float, int] | None:
         """(weight, edits) of the closest term, or None."""
         found = self.closest(word)
@@ -158,6 +167,7 @@ class Matcher:
     """Sums over the matches of whole texts, with a bounded memory of words."""
 
     def __init__(self, terms: list[Term]) -> None:
+        self.terms = terms
         self.automaton = Automaton(terms)
         self.known: dict[str, tuple[float, int, bool] | None] = {}
 
@@ -170,7 +180,9 @@ class Matcher:
         hits = set()
         for w in set(words):
             if w not in known:
-                known[w] = self.automaton.closest(w[:64])
+                if self.automaton.large:
+                    self.automaton = Automaton(self.terms)
+                known[w] = self.automaton.closest(w)
             if known[w] is not None:
                 hits.add(w)
         if not hits:

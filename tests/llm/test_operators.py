@@ -409,6 +409,68 @@ def test_a_stem_keeps_its_words_automata():
     assert toxicity.Matcher([toxicity.Term("scum", False, 2.0)]).sums("a scvm b")[:6] == (0, 0, 0, 0, 0, 2.0)
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_automaton_next_to_edit_distances(monkeypatch):
+    rng = random.Random(3)
+    terms = [toxicity.Term("".join(rng.choices("abc", k=rng.randint(3, 11))), False, 1.0 + i) for i in range(12)]
+    automaton = toxicity.Automaton(terms)
+    texts = []
+    for _ in range(1500):
+        word = list(rng.choice(terms).text)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word) + 1)
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "b", "d"])
+            word = word or ["a"]
+        texts.append("".join(word))
+    for word in texts:
+        near = [(edits(word, t.text), t) for t in terms]
+        near = [(n, t) for n, t in near if n <= t.edits]
+        found = automaton.match(word)
+        assert (found is None) == (not near), word
+        if found:
+            assert found[1] <= max(n for n, _ in near) and found in {(t.weight, n) for n, t in near}
+    # an automaton that is started anew for every few words matches the same
+    plain = toxicity.Matcher(terms).sums(" ".join(texts))
+    monkeypatch.setattr(toxicity, "STATES", 5)
+    matcher = toxicity.Matcher(terms)
+    first = matcher.automaton
+    assert matcher.sums(" ".join(texts)) == plain and matcher.automaton is not first
+
+
+def test_long_terms_and_words_are_matched_whole():
+    long = "abcdefghij" * 7
+    match = toxicity.Matcher([toxicity.Term(long, False, 2.0), toxicity.Term(long[:64], False, 1.0)]).sums
+    assert match(long)[:2] == (2.0, 0.0) and match(long[:64])[:2] == (1.0, 0.0)
+    assert match(long[:68])[:2] == (0.0, 2.0)  # two letters short of the longer term
+    assert match(long[:64] + "z" * 8)[6] == 0 and match("x" * 200_000)[6] == 0
+
+
+def test_a_rare_language_and_a_late_part_of_long_words_are_learnt(spark):
+    rng = random.Random(5)
+
+    def prose(letters, n):
+        return " ".join("".join(rng.choices(letters, k=6)) for _ in range(n))
+
+    rows = [(i, prose("abcdefg", 12), "common") for i in range(600)]
+    rows += [(1000 + i, prose("uvwxyz", 12), "rare") for i in range(6)]
+    # words of one span that all languages share, followed by letters of one language
+    rows += [(2000 + i, "m" * language.SPAN + "".join(rng.choices("\u4e00\u4e01\u4e02", k=40)), "late") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language.learn(docs, sample_docs=20)
+    assert set(network.languages) == {"common", "rare", "late"}
+    fresh = [(1, prose("uvwxyz", 30), None), (2, prose("abcdefg", 30), None), (3, "m" * 24 + "\u4e00\u4e02" * 30, None)]
+    found = language.identified(spark.createDataFrame(fresh, docs.schema), network).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "rare", 2: "common", 3: "late"}
+
+
 def test_words_of_a_family_stay_in_the_lexicon(spark):
     rows = [(1, f"idiot idiots scum w{i}") for i in range(20)] + [(0, f"fine words v{i}") for i in range(20)]
     sample = spark.createDataFrame(rows, "toxic long, text string")
