@@ -30,6 +30,7 @@ from lockgate.llm.common import Work, lowered, remainder, words
 from lockgate.llm.tokens import runs
 
 SPAN = 24
+DRAWS = 1 << 31
 MEMORY = 300_000
 
 
@@ -219,10 +220,15 @@ def learn(
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter((remainder("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    place = F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id")
-    )
-    picked = rows.select("lang", "doc_id").distinct().withColumn("place", place)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(DRAWS))
+    rows = rows.withColumn("draw", draw)
+    # far more than enough low draws of each language, however many documents it has:
+    # the window below picks the same documents, but sees few of the others
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("held"))
+    low = work.write(sizes.select("lang", (4.0 * sample_docs * DRAWS / F.col("held")).alias("below")), "low")
+    some = rows.join(low, "lang").filter(F.col("draw") < F.col("below")).select("lang", "doc_id", "draw")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
+    picked = some.distinct().select("lang", "doc_id", place.alias("place"))
     # written, so that its size decides how it is joined
     picked = work.write(picked.filter(F.col("place") <= sample_docs).drop("place"), "picked")
     sample = rows.join(picked, ["lang", "doc_id"])
@@ -244,6 +250,7 @@ def learn(
     held = counts.filter(F.col("place") <= sample_words).orderBy("lang", "place").collect()
     examples = [(r.lang, bytes(r.span), r.n) for r in held]
     work.drop("picked")
+    work.drop("low")
     return train(examples) if examples else None
 
 
