@@ -1,265 +1,461 @@
-"""Language-model scores by logistic context mixing over the bits of words.
-
-A word and the space after it are coded bit by bit. Four predictors look up how often
-each bit followed their hashed context: the word's beginning, the beginning within the
-document's class, the last three bytes within the class, and the last two bytes. The
-logistic mixer adds their stretched predictions with weights that a gate picks from how
-much the first two contexts have seen; an adaptive map then refines the mixed prediction
-by place in the word. Mixer and map learn online, on words of documents that the tables
-have not seen. The end of a document is the empty word.
-
-A document's class (one of 8) is a hash of its most frequent word; it is coded first, by
-its share of training documents. A last gate adds two exact experts, the word's share of all
-training tokens and of those in its class; its weights are fitted by expectation
-maximisation on the mixer's words. All of it is one probability for the text.
-
-Exact word counts and costs are tables over all documents, joined on the word. Only the
-``head`` most frequent words (default 32,768) are broadcast, for speed: the others take the
-join. Bit tables have ``2 ** TABLE_BITS`` slots for each predictor, whatever the input; the
-mixer learns from at most ``sample_words`` distinct words (60,000).
+"""Language-model scores by online logistic context mixing over the bits of texts.
+
+A text is a row of symbols. The ``head`` most frequent words and the end are symbols of
+their own; any other word is an escape, its bytes and a space. Symbols have prefix codes
+(Huffman's, of the words' counts, and one for bytes), so a frequent word takes few binary
+decisions and every decision is predicted, mixed and paid for. The score is the log of the
+probability of all of them, in the order of the text.
+
+Static predictors look up how often a bit followed a hashed context: for words nothing, the
+word before, the two words before, and the last very frequent word (which tells languages
+apart); for bytes the last 1, 2, 3 and 5 symbols. One more predictor knows only what the
+text itself has shown so far. A logistic mixer adds their stretched predictions with weights
+picked by a gate (the kind of symbol and how much two contexts have seen); an adaptive map
+refines the result. Weights, map and the text's own predictor learn with every bit of the
+text, from a common start, which is learnt online by every task from documents that the
+tables have not seen and averaged over tasks. A text is walked in lanes of ``LANE`` symbols,
+side by side: contexts reach across lanes, what was learnt along a lane doesn't.
+
+What is gathered grows with the input: counts of all words, bits of all training documents,
+the mixer's start from one in seven. The tables double with the training text up to
+``2 ** table_bits`` slots a predictor (default 22: 8 MB each), the bound of what is
+broadcast; beyond it contexts share slots. So are the ``head`` words (default 32,768); the
+base score's counts of all others are joined.
 
 Null text counts as empty: it has one token, its end. Repeated rows (equal id and text)
-get equal scores, each on its own row. Without training documents known counts are 0, the
-base score follows its formula, and predictors are all neutral.
+get equal scores, each on its own row. A null id is an id like others. Very long texts are
+walked in windows of bounded size. Without training documents known counts are 0, the
+base score follows its formula, and predictors are all neutral. Other columns of the input
+are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lockgate.llm.common import Work, remainder
 
-CLASSES = 8
 PREDICTORS = 4
-TABLE_BITS = 20
-SLOTS = 1 << TABLE_BITS
+LANE = 512  # symbols
+LANES = 4096  # side by side
 SLICES = 16  # of one predictor's table
-SPAN = 32
+FAN = 16  # parts that one task adds up
+LOCAL = 1024  # slots of a lane's own predictor
+GATES = 32
+CELLS = 49
+FLUSH = 300_000
+GROUP = 4 << 20  # bytes of text encoded together
+TOPICS = 64
+RATE = 0.015
 LN10 = math.log(10)
-FLUSH = 150_000
+END = b""
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _NODE = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = np.uint64(64 - TABLE_BITS)
-
-
-def document_class(counts: Counter) -> int:
-    """The class of a document from its words' counts."""
-    if not counts:
-        return 0
-    most = max(counts.values())
-    return zlib.crc32(min(w for w, n in counts.items() if n == most)) % CLASSES
-
-
-def pieces(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(indices of words, bytes) of the words with their ends, cut by ``SPAN`` bytes, by length."""
-    by_size: dict[int, tuple[list[int], list[bytes]]] = {}
-    for i, w in enumerate(words):
-        coded = w + b" "
-        for a in range(0, len(coded), SPAN):
-            part = coded[a : a + SPAN]
-            at, held = by_size.setdefault(len(part), ([], []))
-            at.append(i)
-            held.append(part)
-    for size, (at, held) in by_size.items():
-        for a in range(0, len(at), 8192):
-            data = np.frombuffer(b"".join(held[a : a + 8192]), np.uint8).reshape(-1, size)
-            yield np.array(at[a : a + 8192]), data
-
-
-def walk(data: np.ndarray, classes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(place, slots of each predictor, bits) for every bit of the rows of ``data``."""
-    n = len(data)
-    kind = (classes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xA24BAED4963EE407)
-    begin = np.full(n, 0x243F6A8885A308D3, np.uint64)
-    last = np.zeros(n, np.uint64)
-    for j in range(data.shape[1]):
-        byte = data[:, j].astype(np.uint64)
-        two = (last & np.uint64(0xFFFF)) + np.uint64(min(j, 2) << 20)
-        three = (last & np.uint64(0xFFFFFF)) + np.uint64(min(j, 3) << 28)
-        seeds = np.stack([
-            begin,
-            (begin ^ kind) * _MIX,
-            (three * _MIX) ^ kind,
-            (two + np.uint64(77)) * np.uint64(0xBF58476D1CE4E5B9),
-        ])
-        node = np.ones(n, np.uint64)
-        for b in range(7, -1, -1):
-            bit = (byte >> np.uint64(b)) & np.uint64(1)
-            h = (seeds ^ (node * _NODE)) * _MIX
-            h ^= h >> np.uint64(31)
-            yield j, ((h * _NODE) >> _SHIFT).astype(np.int64), bit.astype(bool)
-            node = node * np.uint64(2) + bit
-        begin = (begin ^ (byte + np.uint64(1))) * _MIX
-        begin ^= begin >> np.uint64(29)
-        last = (last << np.uint64(8)) | byte
 
 
 @dataclass
-class Mixer:
-    """Stretched predictions, what they rest on, gated weights and the adaptive map."""
+class Code:
+    """Symbols: the head words (the end among them), then the escape, then 256 bytes."""
 
-    stretched: np.ndarray  # (PREDICTORS, SLOTS) float32
-    seen: np.ndarray  # (PREDICTORS, SLOTS) uint8, 0 to 7
-    weights: np.ndarray  # (64, PREDICTORS)
-    map: np.ndarray  # (8 places * 33 bins)
+    index: dict[bytes, int]
+    start: np.ndarray  # of each symbol's steps
+    length: np.ndarray
+    nodes: np.ndarray
+    bits: np.ndarray
+
+    @property
+    def escape(self) -> int:
+        return len(self.index)
+
+    @classmethod
+    def of(cls, words: list[bytes], counts: list[int], others: int) -> Code:
+        letters = Counter(b"".join(words))
+        spelled = [letters[b] + 1 + (len(words) if b == 32 else 0) for b in range(256)]
+        steps = _steps([*(c + 1 for c in counts), others + 1], 0)
+        steps += _steps(spelled, len(words) + 1)
+        length = np.array([len(s) for s in steps])
+        flat = np.array([x for s in steps for x in s], np.int64)
+        return cls(
+            {w: i for i, w in enumerate(words)}, np.cumsum(length) - length, length,
+            flat >> 1, (flat & 1).astype(np.uint8),
+        )
+
+
+@dataclass
+class Texts:
+    """Texts as symbols, with the contexts of their tokens."""
+
+    symbols: np.ndarray
+    token: np.ndarray  # of each symbol
+    first: np.ndarray  # each text's first symbol, and the end of all
+    before: np.ndarray  # (3, tokens): contexts of words
+    tails: list[Counter]  # words outside the head, by text
+
+
+@dataclass
+class Start:
+    """Where every lane starts: weights by gate, and the adaptive map."""
+
+    weights: np.ndarray  # (GATES, PREDICTORS + 1)
+    map: np.ndarray  # (2 * CELLS)
 
     @classmethod
-    def of(cls, zeros: np.ndarray, ones: np.ndarray) -> Mixer:
-        stretched = np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32)
-        seen = np.minimum(7, np.log2(zeros + ones + 1) / 2).astype(np.uint8)
-        weights = np.full((64, PREDICTORS), 0.35, np.float32)
-        bins = 1 / (1 + np.exp(-(np.arange(33) - 16) / 2))
-        return cls(stretched, seen, weights, np.tile(bins, 8).astype(np.float32))
-
-    def mixed(self, j: int, slots: np.ndarray):
-        """Inputs, gate, mixed probability, map cells and the final probability of a one."""
-        x = np.stack([self.stretched[i][slots[i]] for i in range(PREDICTORS)])
-        gate = self.seen[0][slots[0]].astype(np.int64) * 8 + self.seen[1][slots[1]]
-        dot = np.einsum("in,ni->n", x, self.weights[gate])
-        np.clip(dot, -14, 14, out=dot)
+    def neutral(cls) -> Start:
+        bins = 1 / (1 + np.exp(-(np.arange(CELLS) - CELLS // 2) / 2))
+        return cls(np.full((GATES, PREDICTORS + 1), 0.3), np.tile(bins, 2))
+
+
+def _steps(weights: list[int], base: int) -> list[list[int]]:
+    """Prefix codes as steps ``2 * inner node + bit``; inner nodes are numbered from ``base``."""
+    size = len(weights)
+    heap = [(w, i) for i, w in enumerate(weights)]
+    heapq.heapify(heap)
+    parent = [0] * (2 * size - 1)
+    for node in range(size, 2 * size - 1):
+        (a, left), (b, right) = heapq.heappop(heap), heapq.heappop(heap)
+        parent[left], parent[right] = node << 1, node << 1 | 1
+        heapq.heappush(heap, (a + b, node))
+    steps = []
+    for i in range(size):
+        own, at = [], i
+        while at != 2 * size - 2:
+            own.append(((parent[at] >> 1) - size + base) << 1 | parent[at] & 1)
+            at = parent[at] >> 1
+        steps.append(own[::-1])
+    return steps
+
+
+def encode(texts: list[bytes], code: Code) -> Texts:
+    """The symbols of whole texts, lower-cased, cut at white space."""
+    escape, get, last = code.escape, code.index.get, code.index[END]
+    ids: list[int] = []
+    rest: list[bytes] = []
+    sizes, tails = [], []
+    for text in texts:
+        words = text.lower().split()
+        own = [get(w, escape) for w in words]
+        tail = [w for w, i in zip(words, own, strict=True) if i == escape]
+        ids += own
+        ids.append(last)
+        rest += tail
+        sizes.append(len(own) + 1)
+        tails.append(Counter(tail))
+    tokens = np.array(ids, np.int64)
+    spelled = tokens == escape
+    width = np.ones(len(tokens), np.int64)
+    width[spelled] = [len(w) + 2 for w in rest]
+    at = np.cumsum(width) - width
+    symbols = np.full(int(width.sum()), -1, np.int32)
+    symbols[at] = tokens
+    letters = np.frombuffer(b"".join(w + b" " for w in rest), np.uint8)
+    symbols[symbols < 0] = letters.astype(np.int32) + escape + 1
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    # contexts of words: what precedes them in their own text
+    name = (tokens.astype(np.uint64) + np.uint64(1)) * _NODE
+    name[spelled] ^= np.array([zlib.crc32(w) for w in rest], np.uint64) * _MIX
+    one = np.zeros_like(name)
+    one[1:] = name[:-1]
+    one[begins] = 0
+    two = np.zeros_like(name)
+    two[1:] = one[:-1]
+    two[begins] = 0
+    place = np.where(tokens < TOPICS, np.arange(len(tokens)), -1)
+    place = np.maximum.accumulate(place)
+    place[1:] = place[:-1].copy()
+    place[0] = -1
+    known = place >= np.repeat(begins, sizes)
+    topic = np.where(known, tokens[place] + 1, 0).astype(np.uint64)
+    before = np.stack([one, (one ^ (two * _NODE)) * _MIX, topic * _NODE])
+    first = np.append(at[begins], len(symbols))
+    return Texts(symbols, np.repeat(np.arange(len(tokens)), width), first, before, tails)
+
+
+def lanes_of(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first symbol, symbols) of every lane: ``LANE`` symbols, counted from the text's start."""
+    size = np.diff(texts.first)
+    many = -(-size // LANE)
+    text = np.repeat(np.arange(len(size)), many)
+    turn = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    start = texts.first[text] + turn * LANE
+    return text, start, np.minimum(texts.first[text + 1] - start, LANE)
+
+
+@dataclass
+class Bits:
+    """The binary decisions of some lanes, one lane after the other."""
+
+    bits: np.ndarray
+    slots: np.ndarray  # (PREDICTORS, bits)
+    own: np.ndarray  # slot in the lane's own predictor
+    spelled: np.ndarray  # whether a byte is coded
+    lane: np.ndarray
+    size: np.ndarray  # bits of each lane
+
+
+def decisions(texts: Texts, code: Code, text: np.ndarray, start: np.ndarray, size: np.ndarray, table_bits: int) -> Bits:
+    """The decisions of consecutive lanes."""
+    a, b = int(start[0]), int(start[-1] + size[-1])
+    symbols, token = texts.symbols[a:b].astype(np.int64), texts.token[a:b]
+    spelled = symbols > code.escape
+    begin = texts.first[np.repeat(text, size)]
+    here = np.arange(a, b)
+    # bytes: the symbols before, within the text
+    contexts = np.zeros((PREDICTORS, b - a), np.uint64)
+    rolled = np.zeros(b - a, np.uint64)
+    kept = 0
+    for back in range(1, 6):
+        at = here - back
+        earlier = np.where(at >= begin, texts.symbols[np.maximum(at, 0)] + 1, 0).astype(np.uint64)
+        rolled = (rolled + earlier) * _MIX
+        rolled ^= rolled >> np.uint64(29)
+        if back in (1, 2, 3, 5):
+            contexts[kept] = rolled
+            kept += 1
+    word = ~spelled
+    contexts[0, word] = 0
+    contexts[1:, word] = texts.before[:, token[word]]
+    local = np.where(spelled, contexts[2], contexts[1])
+    many = code.length[symbols]
+    of = np.repeat(np.arange(b - a), many)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + code.start[symbols][of]
+    node = (code.nodes[step].astype(np.uint64) + np.uint64(1)) * _NODE
+    slots = np.empty((PREDICTORS, len(of)), np.int32)
+    for i in range(PREDICTORS):
+        h = (contexts[i][of] ^ node) * _MIX
+        h ^= h >> np.uint64(31)
+        slots[i] = (h * _NODE) >> np.uint64(64 - table_bits)
+    h = (local[of] ^ node) * _MIX
+    own = ((h ^ (h >> np.uint64(31))) * _NODE >> np.uint64(54)).astype(np.int32)
+    lane = np.repeat(np.repeat(np.arange(len(size)), size), many)
+    return Bits(code.bits[step], slots, own, spelled[of], lane, np.bincount(lane, minlength=len(size)))
+
+
+@dataclass
+class Tables:
+    """Stretched predictions in tenths, and what they rest on (0 to 3)."""
+
+    stretched: np.ndarray  # (PREDICTORS, slots) int8
+    seen: np.ndarray  # (PREDICTORS, slots) uint8
+
+    @property
+    def table_bits(self) -> int:
+        return self.stretched.shape[1].bit_length() - 1
+
+
+def quantised(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    stretched = np.log((ones + 0.25) / (zeros + 0.25)) * 10
+    seen = np.minimum(3, np.log2(zeros + ones + 1.0) / 1.5)
+    return np.clip(np.rint(stretched), -120, 120).astype(np.int8), seen.astype(np.uint8)
+
+
+def mix(tables: Tables, bits: Bits, begin: Start) -> tuple[np.ndarray, Start, np.ndarray]:
+    """ln of the probability of each lane; the mean of what lanes learnt, and how often gates were used.
+
+    All lanes take their first decision, then their second, and so on.
+    """
+    lanes = len(bits.size)
+    x = np.empty((len(bits.bits), PREDICTORS + 1), np.float32)
+    for i in range(PREDICTORS):
+        x[:, i] = tables.stretched[i][bits.slots[i]]
+    x[:, :PREDICTORS] *= np.float32(0.1)
+    gate = bits.spelled * 16 + tables.seen[1][bits.slots[1]] * 4 + tables.seen[2][bits.slots[2]]
+    gate = gate.astype(np.int64) + bits.lane * GATES
+    own = bits.own + bits.lane * LOCAL
+    cell = bits.spelled * np.int64(CELLS) + bits.lane * (2 * CELLS) + CELLS // 2
+    weights = np.tile(begin.weights.astype(np.float32), (lanes, 1))
+    refined = np.tile(begin.map.astype(np.float32), lanes)
+    local = np.zeros(lanes * LOCAL, np.float32)
+    order = np.argsort(-bits.size, kind="stable")
+    starts = (np.cumsum(bits.size) - bits.size)[order]
+    longest = bits.size[order]
+    total, product = np.zeros(lanes), np.ones(lanes)
+    signed = bits.bits.astype(np.float32)
+    live = np.searchsorted(-longest, -np.arange(int(longest[0])), side="left")
+    for t, n in enumerate(live):
+        at = starts[:n] + t
+        row, bit, g, place = x[at], signed[at], gate[at], own[at]
+        state = local[place]
+        row[:, PREDICTORS] = state
+        w = weights[g]
+        dot = np.clip(np.einsum("ni,ni->n", row, w), -12, 12)
         p = 1 / (1 + np.exp(-dot))
-        cell = np.clip(np.rint(dot * 2) + 16, 0, 32).astype(np.int64) + 33 * min(j, 7)
-        final = np.clip((p + self.map[cell]) / 2, 1e-6, 1 - 1e-6)
-        return x, gate, p, cell, final
-
-    def learn(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray, rate: float = 0.02) -> None:
-        """Online steps over words; ``counts`` says how often each occurs."""
-        share = np.minimum(counts / max(counts.mean(), 1e-9), 40).astype(np.float32)
-        for at, data in pieces(words):
-            for a in range(0, len(at), 1024):
-                own, held = at[a : a + 1024], share[at[a : a + 1024]]
-                for j, slots, bits in walk(data[a : a + 1024], classes[own]):
-                    x, gate, p, cell, _ = self.mixed(j, slots)
-                    error = (bits - p) * held
-                    mass = np.bincount(gate, held, 64)
-                    for i in range(PREDICTORS):
-                        step = np.bincount(gate, error * x[i], 64) / (mass + 8)
-                        self.weights[:, i] += rate * 8 * step.astype(np.float32)
-                    mass = np.bincount(cell, held, len(self.map))
-                    miss = np.bincount(cell, held * (bits - self.map[cell]), len(self.map))
-                    self.map += (miss / (mass + 100)).astype(np.float32)
-
-    def costs(self, words: list[bytes], classes: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each word in its class."""
-        out = np.zeros(len(words))
-        for at, data in pieces(words):
-            total = np.zeros(len(at))
-            byte = np.ones(len(at))  # the probability of the bits of one byte
-            for turn, (j, slots, bits) in enumerate(walk(data, classes[at]), 1):
-                final = self.mixed(j, slots)[4]
-                byte *= np.where(bits, final, 1 - final)
-                if turn % 8 == 0:
-                    total += np.log10(byte)
-                    byte[:] = 1
-            np.add.at(out, at, total)
-        return out
+        weights[g] = w + (RATE * (bit - p))[:, None] * row
+        local[place] = 0.7 * state + 1.6 * (bit - np.float32(0.5))
+        c = cell[at] + np.rint(dot * 2).astype(np.int64)
+        guess = refined[c]
+        refined[c] = guess + np.float32(0.02) * (bit - guess)
+        final = np.clip((p + guess) / 2, 1e-5, 1 - 1e-5)
+        product[:n] *= np.where(bit > 0, final, 1 - final)
+        if t % 32 == 31:
+            total += np.log(product)
+            product[:] = 1
+    total += np.log(product)
+    out = np.empty(lanes)
+    out[order] = total
+    used = np.bincount(gate, minlength=lanes * GATES).reshape(lanes, GATES)
+    mass = used.sum(axis=0)
+    learnt = (weights.reshape(lanes, GATES, -1) * used[:, :, None]).sum(axis=0) / np.maximum(mass, 1)[:, None]
+    learnt = np.where(mass[:, None] > 0, learnt, begin.weights)
+    share = bits.size / bits.size.sum()
+    return out, Start(learnt, share @ refined.reshape(lanes, -1)), mass
+
+
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches of about ``GROUP`` bytes of text, or one longer text."""
+    for batch in batches:
+        a = held = 0
+        for i, text in enumerate(batch.column("text")):
+            held += text.as_buffer().size
+            if held > GROUP:
+                yield batch.slice(a, i + 1 - a)
+                a, held = i + 1, 0
+        if a < batch.num_rows:
+            yield batch.slice(a)
+
+
+def _walked(texts: Texts, code: Code, table_bits: int) -> Iterator[tuple[np.ndarray, Bits]]:
+    """(texts of lanes, their decisions), ``LANES`` at a time."""
+    text, start, size = lanes_of(texts)
+    for a in range(0, len(text), LANES):
+        part = slice(a, a + LANES)
+        yield text[part], decisions(texts, code, text[part], start[part], size[part], table_bits)
+
+
+def logs_of(texts: Texts, code: Code, tables: Tables, begin: Start) -> np.ndarray:
+    """ln of the probability of every text."""
+    out = np.zeros(len(texts.tails))
+    for text, bits in _walked(texts, code, tables.table_bits):
+        np.add.at(out, text, mix(tables, bits, begin)[0])
+    return out
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, word, t, m): words of tables' and mixer's documents, and of all others as 0."""
-    held: dict[tuple[int, bytes], list[int]] = {}
+    """(word, n): occurrences in training documents, 0 for words of others."""
+    held: Counter = Counter()
 
     def out() -> pa.RecordBatch:
-        kinds, words = zip(*held, strict=True)
-        t, m = zip(*held.values(), strict=True)
+        words, n = zip(*held.items(), strict=True)
         held.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(kinds, pa.int32()), pa.array(words, pa.binary()), pa.array(t, pa.int64()),
-             pa.array(m, pa.int64())], ["kind", "word", "t", "m"])
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
 
     for batch in batches:
         for text, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist(), strict=True):
-            counts = Counter(text.lower().split())
-            kind = document_class(counts)
-            counts[b""] += 1
-            for w, n in counts.items():
-                own = held.get((kind, w))
-                if own is None:
-                    own = held[kind, w] = [0, 0]
-                if part < 2:
-                    own[part] += n
+            words = text.lower().split()
+            words.append(END)
+            if part < 2:
+                held.update(words)
+            else:
+                held.update(dict.fromkeys(words, 0))
             if len(held) > FLUSH:
                 yield out()
     if held:
         yield out()
 
 
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of zeros and ones by slot, in compressed slices."""
-    tables = np.zeros((2, PREDICTORS, SLOTS), np.float32)
-    any_ = False
-    for batch in batches:
-        any_ = any_ or batch.num_rows > 0
-        words = batch.column("word").to_pylist()
-        kinds = batch.column("kind").to_numpy()
-        weight = batch.column("t").to_numpy().astype(np.float32)
-        for at, data in pieces(words):
-            w = weight[at]
-            for _, slots, bits in walk(data, kinds[at]):
-                for i in range(PREDICTORS):
-                    np.add.at(tables[0, i], slots[i][~bits], w[~bits])
-                    np.add.at(tables[1, i], slots[i][bits], w[bits])
-    if any_:
-        parts = tables.reshape(2, PREDICTORS * SLICES, -1)
-        for k in range(PREDICTORS * SLICES):
-            blob = zlib.compress(np.ascontiguousarray(parts[:, k]).tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blob], pa.binary())], ["slice", "counts"])
-
-
-def _summed(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(zlib.decompress(b), np.float32) for b in rows.column("counts").to_pylist())
-    blob = zlib.compress(total.astype(np.float32).tobytes(), 1)
-    return pa.table({"slice": rows.column("slice")[:1], "counts": pa.array([blob], pa.binary())})
-
-
-def _gate(experts: np.ndarray, counts: np.ndarray, rounds: int = 40) -> np.ndarray:
-    """Weights of ``experts`` (each a row of probabilities) for words that occur ``counts`` times."""
-    weights = np.array([0.4, 0.3, 0.3])
-    for _ in range(rounds):
-        part = weights[:, None] * experts
-        part /= part.sum(axis=0) + 1e-300
-        weights = (part * counts).sum(axis=1) + 1e-6
-        weights /= weights.sum()
-    return weights
-
-
-def _mixer(words: DataFrame, sample_words: int, sizes: dict[int, int]) -> tuple[Mixer, np.ndarray]:
-    """Bit tables of all table words; mixer and last gate from a sample of the others."""
+def _blobs(slice_: list[int], tables: list[np.ndarray]) -> pa.RecordBatch:
+    blobs = [zlib.compress(np.ascontiguousarray(t).tobytes(), 1) for t in tables]
+    return pa.RecordBatch.from_arrays([pa.array(slice_, pa.int32()), pa.array(blobs, pa.binary())], ["slice", "counts"])
+
+
+def _bit_counts(rows: DataFrame, code, table_bits: int, work: Work, name: str) -> DataFrame:
+    """(slice, counts): zeros and ones by slot, one row a slice, added up ``FAN`` parts at a time."""
     schema = "slice int, counts binary"
-    own = words.filter("t > 0").select("kind", "word", "t").mapInArrow(_tables, schema)
-    own = own.withColumn("lot", F.spark_partition_id() % 32)
-    own = own.groupBy("slice", "lot").applyInArrow(lambda t: _summed(t.select(["slice", "counts"])), schema)
-    held = own.groupBy("slice").applyInArrow(_summed, schema).collect()
-    tables = np.zeros((2, PREDICTORS * SLICES, SLOTS // SLICES), np.float32)
-    for r in held:
-        tables[:, r.slice] = np.frombuffer(zlib.decompress(r.counts), np.float32).reshape(2, -1)
-    tables = tables.reshape(2, PREDICTORS, SLOTS)
-    mixer = Mixer.of(tables[0], tables[1])
-    sample = (
-        words.filter("m > 0").orderBy(F.xxhash64("word", "kind"), "word", "kind").limit(sample_words)
-        .select("kind", "word", "m", "t", "tables").collect()
-    )
-    if not sample:
-        return mixer, np.array([0.4, 0.3, 0.3])
-    own = [bytes(r.word) for r in sample]
-    kinds, m = np.array([r.kind for r in sample]), np.array([r.m for r in sample], float)
-    mixer.learn(own, kinds, m)
-    inside = np.array([sizes.get(k, 0) + 1 for k in range(CLASSES)], float)
-    experts = np.stack([
-        10.0 ** mixer.costs(own, kinds),
-        np.array([r.tables for r in sample]) / inside.sum(),
-        np.array([r.t for r in sample]) / inside[kinds],
-    ])
-    return mixer, _gate(experts, m)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = None
+        for batch in _groups(batches):
+            texts = encode(batch.column("text").to_pylist(), code.value)
+            if tables is None:
+                tables = np.zeros((PREDICTORS, 2 << table_bits), np.uint32)
+            for _, bits in _walked(texts, code.value, table_bits):
+                for i in range(PREDICTORS):
+                    np.add.at(tables[i], bits.slots[i] * 2 + bits.bits, np.uint32(1))
+        if tables is not None:
+            parts = tables.reshape(PREDICTORS * SLICES, -1)
+            for k in np.flatnonzero(parts.any(axis=1)):
+                yield _blobs([k], [parts[k]])
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros((2 << table_bits) // SLICES, np.float32)
+        for blob in rows.column("counts"):
+            held = zlib.decompress(blob.as_py())
+            total += np.frombuffer(held, np.uint32)
+        capped = np.minimum(total, 4e9).astype(np.uint32)
+        own = pa.Table.from_batches([_blobs([rows.column("slice")[0].as_py()], [capped])])
+        return own.append_column("lot", rows.column("lot").slice(0, 1))
+
+    texts = rows.select("text")
+    lots = texts.rdd.getNumPartitions()
+    counts = texts.mapInArrow(count, schema).withColumn("lot", F.spark_partition_id())
+    while True:
+        lots = -(-lots // FAN)
+        counts = counts.withColumn("lot", F.col("lot") % lots)
+        counts = counts.groupBy("slice", "lot").applyInArrow(add, schema + ", lot int")
+        if lots == 1:
+            break
+    return work.write(counts.select("slice", "counts"), name)
+
+
+def _tables(counts: DataFrame, table_bits: int) -> Tables:
+    """Tables of at most ``2 ** table_bits`` slots, a byte each for prediction and confidence."""
+    size = (1 << table_bits) // SLICES
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, blob in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                own = np.frombuffer(zlib.decompress(blob), np.uint32).reshape(-1, 2).astype(np.float64)
+                yield _blobs([k], [np.concatenate([q.view(np.uint8) for q in quantised(own[:, 0], own[:, 1])])])
+
+    stretched = np.zeros((PREDICTORS * SLICES, size), np.int8)
+    seen = np.zeros((PREDICTORS * SLICES, size), np.uint8)
+    for r in counts.mapInArrow(shrink, "slice int, counts binary").toLocalIterator():
+        both = np.frombuffer(zlib.decompress(r.counts), np.uint8)
+        stretched[r.slice], seen[r.slice] = both[:size].view(np.int8), both[size:]
+    return Tables(stretched.reshape(PREDICTORS, -1), seen.reshape(PREDICTORS, -1))
+
+
+def _start(rows: DataFrame, code, tables) -> Start:
+    """The mean of what every task learnt online, gates weighted by their use."""
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, mass, bits_seen = Start.neutral(), np.zeros(GATES), 0
+        for batch in _groups(batches):
+            texts = encode(batch.column("text").to_pylist(), code.value)
+            text, start, size = lanes_of(texts)
+            for a in range(0, len(text), 256):
+                part = slice(a, a + 256)
+                bits = decisions(texts, code.value, text[part], start[part], size[part], tables.value.table_bits)
+                _, own, used = mix(tables.value, bits, own)
+                mass += used
+                bits_seen += len(bits.bits)
+        if bits_seen:
+            rows = np.arange(GATES + 1)
+            values = [*own.weights.tolist(), own.map.tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int32()), pa.array([*mass, float(bits_seen)]), pa.array(values, pa.list_(pa.float64()))],
+                ["gate", "mass", "learnt"],
+            )
+
+    learnt = rows.select("text").mapInArrow(learn, "gate int, mass double, learnt array<double>")
+    each = learnt.filter("mass > 0").select("gate", "mass", F.posexplode("learnt").alias("at", "value"))
+    means = each.groupBy("gate", "at").agg((F.sum(F.col("mass") * F.col("value")) / F.sum("mass")).alias("value"))
+    begin = Start.neutral()
+    for r in means.collect():  # GATES * (PREDICTORS + 1) + 2 * CELLS rows at most
+        if r.gate < GATES:
+            begin.weights[r.gate, r.at] = r.value
+        else:
+            begin.map[r.at] = r.value
+    return begin
 
 
 def scored(
@@ -267,7 +463,7 @@ def scored(
     id_col: str = "doc_id",
     text_col: str = "text",
     head: int = 32_768,
-    sample_words: int = 60_000,
+    table_bits: int = 22,
 ) -> DataFrame:
     """One row per document: counts, base_score, score and bits_per_byte."""
     spark = docs.sparkSession
@@ -278,118 +474,70 @@ def scored(
         F.col(id_col).alias("doc_id"),
         text.alias("text"),
         F.when(left == 2, 2).when(left == 3, 1).otherwise(0).alias("part"),
-        F.xxhash64(text).alias("hash"),
     )
-    counted = rows.select("text", "part").mapInArrow(_counted, "kind int, word binary, t long, m long")
-    # tasks have combined their words: one shuffle serves both the sums and the window
-    by_class = counted.repartition("word").groupBy("word", "kind").agg(F.sum("t").alias("t"), F.sum("m").alias("m"))
-    same = Window.partitionBy("word")
-    words = by_class.withColumn("c", F.sum(F.col("t") + F.col("m")).over(same)).withColumn(
-        "first", F.col("kind") == F.min("kind").over(same)
-    ).withColumn("tables", F.sum("t").over(same))
-    words = work.write(words, "words")
-    sums = words.filter("first").agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
-    total, distinct = sums[0] or 0, sums[1]
+    counted = rows.select("text", "part").mapInArrow(_counted, "word binary, n long")
+    words = work.write(counted.groupBy("word").agg(F.sum("n").alias("c")), "words")
+    sums = words.filter("c > 0").agg(F.sum("c"), F.count("*"), F.sum(F.col("c") * (F.length("word") + 1))).first()
+    total, distinct, n_bytes = (v or 0 for v in sums)
     size = total + distinct + 1
-    ends = {r.kind: r.n for r in words.filter("length(word) = 0").select("kind", (F.col("t") + F.col("m")).alias("n")).collect()}
-    every = sum(ends.values()) + CLASSES
-    prior = [math.log10((ends.get(k, 0) + 1) / every) for k in range(CLASSES)]
-
-    by_kind = words.groupBy("kind").agg(F.sum("t").alias("t"), F.sum(F.col("t") + F.col("m")).alias("n")).collect()
-    inside = np.ones(CLASSES)
-    for r in by_kind:
-        inside[r.kind] += r.n
-    mixer, gate = _mixer(words, sample_words, {r.kind: r.t for r in by_kind})
-    shared = spark.sparkContext.broadcast(mixer)
-
-    def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = shared.value
-        for batch in batches:
-            own = batch.column("word").to_pylist()
-            kinds = batch.column("kind").to_numpy()
-            logs = mixer.costs(own, kinds)
-            exact = gate[1] * batch.column("c").to_numpy() / size
-            exact += gate[2] * batch.column("n").to_numpy() / inside[kinds]
-            # the mixer's part in logs: a very long word's probability is below any double
-            logs = np.logaddexp(logs * LN10 + np.log(gate[0]), np.log(exact + 1e-320)) / LN10
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in ("kind", "word", "c")), pa.array(logs)],
-                ["kind", "word", "c", "cost"],
-            )
-
-    own_counts = words.select("kind", "word", "c", (F.col("t") + F.col("m")).alias("n"))
-    priced = own_counts.mapInArrow(cost, "kind int, word binary, c long, cost double")
-    priced = work.write(priced, "priced")
-    work.drop("words")
     # fewer than 32 * head words are this frequent, so few reach the task that picks the head
-    frequent = priced.filter(F.col("c") > total // (32 * head))
-    top = frequent.groupBy("word").agg(F.max("c").alias("n")).orderBy(F.col("n").desc(), "word").limit(head)
-    table: dict[bytes, dict[int, tuple[int, float]]] = {}
-    for r in priced.join(F.broadcast(top.select("word")), "word").collect():  # head * CLASSES rows at most
-        table.setdefault(bytes(r.word), {})[r.kind] = (r.c, r.cost)
-    index = {w: i for i, w in enumerate(table)}
-    costs = np.zeros((CLASSES, len(index)))
-    counts = np.zeros(len(index))
-    for w, own in table.items():
-        for kind, (c, log) in own.items():
-            costs[kind, index[w]], counts[index[w]] = log, c
-    known = spark.sparkContext.broadcast((index, costs, np.log10((counts + 1) / size), counts > 0))
+    frequent = words.filter((F.col("c") > total // (32 * head)) & (F.length("word") > 0))
+    top = [(bytes(r.word), r.c) for r in frequent.orderBy(F.col("c").desc(), "word").limit(head).collect()]
+    ends = words.filter(F.length("word") == 0).first()
+    top.append((END, ends.c if ends else 0))
+    names, counts = [w for w, _ in top], [c for _, c in top]
+    table_bits = min(max(16, math.ceil(math.log2(2 * max(n_bytes, 1)))), table_bits)
+    code = spark.sparkContext.broadcast(Code.of(names, counts, total - sum(counts)))
+
+    main = _bit_counts(rows.filter("part = 0"), code, table_bits, work, "bits")
+    tables = spark.sparkContext.broadcast(_tables(main, table_bits))
+    begin = _start(rows.filter("part = 1"), code, tables)
+
+    heads = np.array(counts, float)
+    base, seen = np.append(np.log10((heads + 1) / size), 0.0), np.append(heads > 0, False)
     id_kind = dict(rows.dtypes)["doc_id"]
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, costs, base, seen = known.value
-        names = ["doc_id", "hash", "kind", "word", "n", "rows", "n_bytes", "n_known", "base", "score"]
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a in range(0, len(texts), 500):
-                at, kinds, tail, n, heads = [], [], [], [], []
-                for i, text in enumerate(texts[a : a + 500], a):
-                    own = Counter(text.lower().split())
-                    kind = document_class(own)
-                    own[b""] += 1
-                    near = [(index[w], m) for w, m in own.items() if w in index]
-                    rest = [(w, m) for w, m in own.items() if w not in index]
-                    k = np.array(near, np.int64).reshape(-1, 2)
-                    heads.append((
-                        sum(own.values()),
-                        sum(len(w) * m + m for w, m in own.items()),
-                        int((k[:, 1] * seen[k[:, 0]]).sum()),
-                        float((k[:, 1] * base[k[:, 0]]).sum()),
-                        float((k[:, 1] * costs[kind, k[:, 0]]).sum()) + prior[kind],
-                    ))
-                    at += [i] * (len(rest) + 1)
-                    kinds += [kind] * (len(rest) + 1)
-                    tail += [None, *(w for w, _ in rest)]
-                    n += [heads[-1][0], *(m for _, m in rest)]
-                is_head = np.array([w is None for w in tail])
-                cols = [np.zeros(len(tail)) for _ in range(4)]
-                for c, v in zip(cols, list(zip(*heads, strict=True))[1:], strict=True):
-                    c[is_head] = v
-                take = pa.array(at)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(take), batch.column("hash").take(take),
-                     pa.array(kinds, pa.int32()), pa.array(tail, pa.binary()), pa.array(n, pa.int64()),
-                     pa.array(is_head.astype(np.int64)), pa.array(cols[0].astype(np.int64)),
-                     pa.array(cols[1].astype(np.int64)), pa.array(cols[2]), pa.array(cols[3])], names)
-
-    found = rows.select("doc_id", "hash", "text").mapInArrow(
-        look_up,
-        f"doc_id {id_kind}, hash long, kind int, word binary, n long, rows long, n_bytes long,"
+    fields = ["doc_id", "hash", "word", "n", "rows", "n_bytes", "n_known", "base", "score"]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches):
+            own = batch.column("text").to_pylist()
+            texts = encode(own, code.value)
+            logs = logs_of(texts, code.value, tables.value, begin) / LN10
+            whole = texts.symbols <= code.value.escape
+            of = np.repeat(np.arange(len(own)), np.diff(texts.first))[whole]
+            at = texts.symbols[whole]
+            n = np.bincount(of, minlength=len(own))
+            known = np.bincount(of, seen[at], len(own)).astype(np.int64)
+            sums = np.bincount(of, base[at], len(own))
+            rest = [(i, w, m) for i, held in enumerate(texts.tails) for w, m in held.items()]
+            take = pa.array([*range(len(own)), *(i for i, _, _ in rest)])
+            blank = [0] * len(rest)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").take(take), batch.column("hash").take(take),
+                pa.array([*[None] * len(own), *(w for _, w, _ in rest)], pa.binary()),
+                pa.array([*n.tolist(), *(m for _, _, m in rest)], pa.int64()),
+                pa.array([*[1] * len(own), *blank], pa.int64()),
+                pa.array([*map(len, own), *blank], pa.int64()),
+                pa.array([*known.tolist(), *blank], pa.int64()),
+                pa.array([*sums.tolist(), *blank], pa.float64()),
+                pa.array([*logs.tolist(), *blank], pa.float64()),
+            ], fields)
+
+    found = rows.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
+        score,
+        f"doc_id {id_kind}, hash long, word binary, n long, rows long, n_bytes long,"
         " n_known long, base double, score double",
     )
     lines = work.write(found, "lines")
-    heads = lines.filter("word is null").select("doc_id", "hash", "n", "rows", "n_bytes", "n_known", "base", "score")
+    done = lines.filter("word is null").drop("word")
     rate = F.log10((F.col("c") + 1) / F.lit(float(size)))
-    tails = lines.filter("word is not null").select("doc_id", "hash", "kind", "word", "n").join(
-        priced, ["kind", "word"]
-    )
-    tails = tails.select(
-        "doc_id", "hash", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("rows"),
-        F.lit(0).cast("long").alias("n_bytes"),
+    none = F.lit(0).cast("long")
+    tails = lines.filter("word is not null").select("doc_id", "hash", "word", "n").join(words, "word").select(
+        "doc_id", "hash", none.alias("n"), none.alias("rows"), none.alias("n_bytes"),
         F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("n_known"),
-        (F.col("n") * rate).alias("base"), (F.col("n") * F.col("cost")).alias("score"),
+        (F.col("n") * rate).alias("base"), F.lit(0.0).alias("score"),
     )
-    summed = heads.unionByName(tails).groupBy("doc_id", "hash").agg(
+    summed = done.unionByName(tails).groupBy("doc_id", "hash").agg(
         *(F.sum(c).alias(c) for c in ("n", "rows", "n_bytes", "n_known", "base", "score"))
     )
     each = F.explode(F.expr("array_repeat(0, cast(rows as int))"))
@@ -401,5 +549,5 @@ def scored(
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("rows")).alias("base_score"),
         (F.col("score") / F.col("rows")).alias("score"),
-        (-F.col("score") * math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"),
+        (-F.col("score") * math.log2(10) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )

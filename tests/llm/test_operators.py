@@ -381,11 +381,76 @@ def test_scores_of_the_language_model(docs):
         assert r.base_score == pytest.approx(base) and r.score < 0
 
 
-def test_bits_of_a_word_are_a_probability():
-    mixer = lm_scoring.Mixer.of(np.ones((4, lm_scoring.SLOTS)), np.full((4, lm_scoring.SLOTS), 3.0))
-    every = [bytes([c]) for c in range(256) if c != 32]
-    logs = mixer.costs(every, np.zeros(len(every), int))
-    assert 0 < (10.0**logs).sum() < 1
+def small_model(table_bits=12):
+    rng = np.random.default_rng(3)
+    code = lm_scoring.Code.of([b"the", b"of", b""], [30, 20, 9], 40)
+    zeros, ones = (rng.integers(0, 9, (lm_scoring.PREDICTORS, 1 << table_bits)).astype(float) for _ in range(2))
+    return code, lm_scoring.Tables(*lm_scoring.quantised(zeros, ones)), lm_scoring.Start.neutral()
+
+
+def test_bits_of_texts_are_a_probability():
+    code, tables, begin = small_model()
+    every = [b"", b"the", b"of", *(bytes([c]) for c in range(256) if not bytes([c]).isspace() and not 65 <= c <= 90)]
+    logs = lm_scoring.logs_of(lm_scoring.encode(every, code), code, tables, begin)
+    assert 0 < np.exp(logs).sum() < 1
+
+
+def test_lanes_are_mixed_as_one_bit_after_the_other():
+    code, tables, begin = small_model()
+    own = ["the of the zebra of zebra the".encode(), b"", b"of of of the the quagga " * 150]
+    texts = lm_scoring.encode(own, code)
+    expected = np.zeros(len(own))
+    for text, bits in lm_scoring._walked(texts, code, tables.table_bits):
+        at = 0
+        for lane, many in enumerate(bits.size):
+            weights, refined, local = begin.weights.copy(), begin.map.copy(), Counter()
+            for k in range(at, at + many):
+                slots, place, bit = bits.slots[:, k], bits.own[k], int(bits.bits[k])
+                x = np.array([*(tables.stretched[i, slots[i]] / 10 for i in range(lm_scoring.PREDICTORS)), local[place]])
+                gate = bits.spelled[k] * 16 + tables.seen[1, slots[1]] * 4 + tables.seen[2, slots[2]]
+                dot = min(max(float(x @ weights[gate]), -12), 12)
+                p = 1 / (1 + math.exp(-dot))
+                weights[gate] += lm_scoring.RATE * (bit - p) * x
+                local[place] = 0.7 * local[place] + 1.6 * (bit - 0.5)
+                cell = bits.spelled[k] * lm_scoring.CELLS + lm_scoring.CELLS // 2 + round(dot * 2)
+                final = min(max((p + refined[cell]) / 2, 1e-5), 1 - 1e-5)
+                refined[cell] += 0.02 * (bit - refined[cell])
+                expected[text[lane]] += math.log(final if bit else 1 - final)
+            at += many
+    found = lm_scoring.logs_of(texts, code, tables, begin)
+    assert found == pytest.approx(expected, rel=1e-3)
+
+
+def test_a_text_scores_alike_in_any_company():
+    code, tables, begin = small_model()
+    own = [b"the zebra of the quagga", b"of " * 700, b"", b"x" * 3000, b"the zebra of the quagga"]
+    together = lm_scoring.logs_of(lm_scoring.encode(own, code), code, tables, begin)
+    alone = [lm_scoring.logs_of(lm_scoring.encode([t], code), code, tables, begin)[0] for t in own]
+    assert together == pytest.approx(alone, rel=1e-6)
+
+
+def test_the_order_of_words_counts(spark):
+    rng = random.Random(8)
+    follows = {f"w{i}": [f"w{rng.randrange(40)}" for _ in range(2)] for i in range(40)}
+
+    def prose():
+        words = ["w0"]
+        while len(words) < 120:
+            words.append(rng.choice(follows[words[-1]]))
+        return words
+
+    held = [i for i in range(3000, 3400) if zlib.crc32(str(i).encode()) % 7 == 2][:20]
+    learnt = [(i, " ".join(prose())) for i in range(300)]
+    plain = [prose() for _ in held]
+    rows = [(i, " ".join(t)) for i, t in zip(held, plain)]
+    mixed = [(i, " ".join(rng.sample(t, len(t)))) for i, t in zip(held, plain)]
+    scores = []
+    for own in (rows, mixed):
+        frame = lm_scoring.scored(spark.createDataFrame(learnt + own, "doc_id long, text string"))
+        found = [r for r in frame.collect() if r.doc_id in held]
+        scores.append([sum(r[k] for r in found) for k in ("score", "base_score")])
+    (ordered, base), (shuffled, same) = scores
+    assert base == pytest.approx(same) and shuffled < ordered and ordered > base
 
 
 def test_misspelled_terms_match():
