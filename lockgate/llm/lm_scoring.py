@@ -10,7 +10,7 @@ Static predictors look up how often a bit followed a hashed context: for words n
 word before, the two words before, and the last very frequent word (which tells languages
 apart); for bytes the last 1, 2, 3 and 5 symbols. One more predictor knows only what the
 text itself has shown so far. A logistic mixer adds their stretched predictions with weights
-picked by a gate (the kind of symbol and how much two contexts have seen); an adaptive map
+picked by a gate (the kind of symbol and how sure two contexts are); an adaptive map
 refines the result. Weights, map and the text's own predictor learn with every bit of the
 text, from a common start, which is learnt online by every task from documents that the
 tables have not seen and averaged over tasks. A text is walked in lanes of ``LANE`` symbols,
@@ -18,7 +18,7 @@ side by side: contexts reach across lanes, what was learnt along a lane doesn't.
 
 What is gathered grows with the input: counts of all words, bits of all training documents,
 the mixer's start from one in seven. The tables double with the training text up to
-``2 ** table_bits`` slots a predictor (default 22: 8 MB each), the bound of what is
+``2 ** table_bits`` slots a predictor (default 22: 4 MB each), the bound of what is
 broadcast; beyond it contexts share slots. So are the ``head`` words (default 32,768); the
 base score's counts of all others are joined.
 
@@ -46,8 +46,8 @@ from pyspark.sql import functions as F
 from lockgate.llm.common import Work, remainder
 
 PREDICTORS = 4
-LANE = 512  # symbols
-LANES = 4096  # side by side
+LANE = 256  # symbols
+LANES = 2048  # side by side
 SLICES = 16  # of one predictor's table
 FAN = 16  # parts that one task adds up
 LOCAL = 1024  # slots of a lane's own predictor
@@ -225,38 +225,44 @@ def decisions(texts: Texts, code: Code, text: np.ndarray, start: np.ndarray, siz
     word = ~spelled
     contexts[0, word] = 0
     contexts[1:, word] = texts.before[:, token[word]]
-    local = np.where(spelled, contexts[2], contexts[1])
     many = code.length[symbols]
     of = np.repeat(np.arange(b - a), many)
     step = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + code.start[symbols][of]
     node = (code.nodes[step].astype(np.uint64) + np.uint64(1)) * _NODE
     slots = np.empty((PREDICTORS, len(of)), np.int32)
     for i in range(PREDICTORS):
-        h = (contexts[i][of] ^ node) * _MIX
+        h = contexts[i].take(of)
+        h ^= node
+        h *= _MIX
         h ^= h >> np.uint64(31)
-        slots[i] = (h * _NODE) >> np.uint64(64 - table_bits)
-    h = (local[of] ^ node) * _MIX
-    own = ((h ^ (h >> np.uint64(31))) * _NODE >> np.uint64(54)).astype(np.int32)
-    lane = np.repeat(np.repeat(np.arange(len(size)), size), many)
-    return Bits(code.bits[step], slots, own, spelled[of], lane, np.bincount(lane, minlength=len(size)))
+        h *= _NODE
+        h >>= np.uint64(64 - table_bits)
+        slots[i] = h
+    spelled = spelled[of]
+    # the text's own predictor shares a context with one of the others
+    own = np.where(spelled, slots[2], slots[1]) & (LOCAL - 1)
+    lane = np.repeat(np.repeat(np.arange(len(size), dtype=np.int32), size), many)
+    return Bits(code.bits[step], slots, own, spelled, lane, np.bincount(lane, minlength=len(size)))
 
 
 @dataclass
 class Tables:
-    """Stretched predictions in tenths, and what they rest on (0 to 3)."""
+    """Stretched predictions in tenths; 0 where a context says nothing."""
 
     stretched: np.ndarray  # (PREDICTORS, slots) int8
-    seen: np.ndarray  # (PREDICTORS, slots) uint8
 
     @property
     def table_bits(self) -> int:
         return self.stretched.shape[1].bit_length() - 1
 
 
-def quantised(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: How sure a prediction is, 0 to 3, by its byte: nothing, one sight, some, more.
+SURE = np.searchsorted([1, 17, 31], np.abs(np.arange(256).astype(np.uint8).view(np.int8).astype(int)), side="right")
+
+
+def quantised(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     stretched = np.log((ones + 0.25) / (zeros + 0.25)) * 10
-    seen = np.minimum(3, np.log2(zeros + ones + 1.0) / 1.5)
-    return np.clip(np.rint(stretched), -120, 120).astype(np.int8), seen.astype(np.uint8)
+    return np.clip(np.rint(stretched), -120, 120).astype(np.int8)
 
 
 def mix(tables: Tables, bits: Bits, begin: Start) -> tuple[np.ndarray, Start, np.ndarray]:
@@ -265,44 +271,57 @@ def mix(tables: Tables, bits: Bits, begin: Start) -> tuple[np.ndarray, Start, np
     All lanes take their first decision, then their second, and so on.
     """
     lanes = len(bits.size)
-    x = np.empty((len(bits.bits), PREDICTORS + 1), np.float32)
+    order = np.argsort(-bits.size, kind="stable")
+    starts = (np.cumsum(bits.size) - bits.size)[order]
+    longest = bits.size[order]
+    live = np.searchsorted(-longest, -np.arange(int(longest[0])), side="left").tolist()
+    turn = np.empty(len(bits.bits), np.int64)  # decisions by place in their lane
+    a = 0
+    for t, n in enumerate(live):
+        np.add(starts[:n], t, out=turn[a : a + n])
+        a += n
+    lane = bits.lane[turn].astype(np.int64)
+    x = np.empty((len(turn), PREDICTORS + 1), np.float32)
+    gate = bits.spelled[turn] * 16 + lane * GATES
     for i in range(PREDICTORS):
-        x[:, i] = tables.stretched[i][bits.slots[i]]
+        found = tables.stretched[i].take(bits.slots[i].take(turn))
+        x[:, i] = found
+        if i in (1, 2):
+            gate += SURE.take(found.view(np.uint8)) * (4 if i == 1 else 1)
     x[:, :PREDICTORS] *= np.float32(0.1)
-    gate = bits.spelled * 16 + tables.seen[1][bits.slots[1]] * 4 + tables.seen[2][bits.slots[2]]
-    gate = gate.astype(np.int64) + bits.lane * GATES
-    own = bits.own + bits.lane * LOCAL
-    cell = bits.spelled * np.int64(CELLS) + bits.lane * (2 * CELLS) + CELLS // 2
+    own = bits.own[turn] + lane * LOCAL
+    cell = bits.spelled[turn] * CELLS + lane * (2 * CELLS) + CELLS // 2
+    ones = bits.bits[turn].astype(np.float32)
+    step = np.float32(1.6) * ones - np.float32(0.8)
+    finals = np.empty(len(turn), np.float32)
     weights = np.tile(begin.weights.astype(np.float32), (lanes, 1))
+    whole = weights.view(f"V{weights.strides[0]}").ravel()
     refined = np.tile(begin.map.astype(np.float32), lanes)
     local = np.zeros(lanes * LOCAL, np.float32)
-    order = np.argsort(-bits.size, kind="stable")
-    starts = (np.cumsum(bits.size) - bits.size)[order]
-    longest = bits.size[order]
-    total, product = np.zeros(lanes), np.ones(lanes)
-    signed = bits.bits.astype(np.float32)
-    live = np.searchsorted(-longest, -np.arange(int(longest[0])), side="left")
-    for t, n in enumerate(live):
-        at = starts[:n] + t
-        row, bit, g, place = x[at], signed[at], gate[at], own[at]
-        state = local[place]
+    a = 0
+    for n in live:
+        now = slice(a, a + n)
+        a += n
+        row, bit, g, place = x[now], ones[now], gate[now], own[now]
+        state = local.take(place)
         row[:, PREDICTORS] = state
-        w = weights[g]
-        dot = np.clip(np.einsum("ni,ni->n", row, w), -12, 12)
+        w = weights.take(g, axis=0)
+        dot = np.einsum("ni,ni->n", row, w)
+        np.minimum(np.maximum(dot, -12, out=dot), 12, out=dot)
         p = 1 / (1 + np.exp(-dot))
-        weights[g] = w + (RATE * (bit - p))[:, None] * row
-        local[place] = 0.7 * state + 1.6 * (bit - np.float32(0.5))
-        c = cell[at] + np.rint(dot * 2).astype(np.int64)
-        guess = refined[c]
+        w += row * (RATE * (bit - p))[:, None]
+        whole[g] = w.view(whole.dtype).ravel()  # a row at a time
+        state *= np.float32(0.7)
+        state += step[now]
+        local[place] = state
+        c = np.rint(dot + dot).astype(np.int64)
+        c += cell[now]
+        guess = refined.take(c)
+        p += guess
+        finals[now] = p
         refined[c] = guess + np.float32(0.02) * (bit - guess)
-        final = np.clip((p + guess) / 2, 1e-5, 1 - 1e-5)
-        product[:n] *= np.where(bit > 0, final, 1 - final)
-        if t % 32 == 31:
-            total += np.log(product)
-            product[:] = 1
-    total += np.log(product)
-    out = np.empty(lanes)
-    out[order] = total
+    finals = np.clip(finals / 2, 1e-5, 1 - 1e-5, dtype=np.float64)
+    out = np.bincount(lane, np.log(np.where(ones > 0, finals, 1 - finals)), lanes)
     used = np.bincount(gate, minlength=lanes * GATES).reshape(lanes, GATES)
     mass = used.sum(axis=0)
     learnt = (weights.reshape(lanes, GATES, -1) * used[:, :, None]).sum(axis=0) / np.maximum(mass, 1)[:, None]
@@ -408,21 +427,19 @@ def _bit_counts(rows: DataFrame, code, table_bits: int, work: Work, name: str) -
 
 
 def _tables(counts: DataFrame, table_bits: int) -> Tables:
-    """Tables of at most ``2 ** table_bits`` slots, a byte each for prediction and confidence."""
+    """Tables of at most ``2 ** table_bits`` slots of a byte."""
     size = (1 << table_bits) // SLICES
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, blob in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 own = np.frombuffer(zlib.decompress(blob), np.uint32).reshape(-1, 2).astype(np.float64)
-                yield _blobs([k], [np.concatenate([q.view(np.uint8) for q in quantised(own[:, 0], own[:, 1])])])
+                yield _blobs([k], [quantised(own[:, 0], own[:, 1])])
 
     stretched = np.zeros((PREDICTORS * SLICES, size), np.int8)
-    seen = np.zeros((PREDICTORS * SLICES, size), np.uint8)
     for r in counts.mapInArrow(shrink, "slice int, counts binary").toLocalIterator():
-        both = np.frombuffer(zlib.decompress(r.counts), np.uint8)
-        stretched[r.slice], seen[r.slice] = both[:size].view(np.int8), both[size:]
-    return Tables(stretched.reshape(PREDICTORS, -1), seen.reshape(PREDICTORS, -1))
+        stretched[r.slice] = np.frombuffer(zlib.decompress(r.counts), np.int8)
+    return Tables(stretched.reshape(PREDICTORS, -1))
 
 
 def _start(rows: DataFrame, code, tables) -> Start:

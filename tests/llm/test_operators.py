@@ -385,7 +385,7 @@ def small_model(table_bits=12):
     rng = np.random.default_rng(3)
     code = lm_scoring.Code.of([b"the", b"of", b""], [30, 20, 9], 40)
     zeros, ones = (rng.integers(0, 9, (lm_scoring.PREDICTORS, 1 << table_bits)).astype(float) for _ in range(2))
-    return code, lm_scoring.Tables(*lm_scoring.quantised(zeros, ones)), lm_scoring.Start.neutral()
+    return code, lm_scoring.Tables(lm_scoring.quantised(zeros, ones)), lm_scoring.Start.neutral()
 
 
 def test_bits_of_texts_are_a_probability():
@@ -407,7 +407,8 @@ def test_lanes_are_mixed_as_one_bit_after_the_other():
             for k in range(at, at + many):
                 slots, place, bit = bits.slots[:, k], bits.own[k], int(bits.bits[k])
                 x = np.array([*(tables.stretched[i, slots[i]] / 10 for i in range(lm_scoring.PREDICTORS)), local[place]])
-                gate = bits.spelled[k] * 16 + tables.seen[1, slots[1]] * 4 + tables.seen[2, slots[2]]
+                sure = [lm_scoring.SURE[int(tables.stretched[i, slots[i]]) % 256] for i in (1, 2)]
+                gate = bits.spelled[k] * 16 + sure[0] * 4 + sure[1]
                 dot = min(max(float(x @ weights[gate]), -12), 12)
                 p = 1 / (1 + math.exp(-dot))
                 weights[gate] += lm_scoring.RATE * (bit - p) * x
