@@ -1,7 +1,7 @@
 """Language-model scores by online logistic context mixing over the bits of texts.
 
-A text is a row of symbols. The ``head`` most frequent words and the end are symbols of
-their own; any other word is an escape, its bytes and a space. Symbols have prefix codes
+A text is a row of symbols. The ``head`` most frequent words (those seen more than ``RARE``
+times) and the end are symbols of their own; any other word is an escape, its bytes and a space. Symbols have prefix codes
 (Huffman's, of the words' counts, and one for bytes), so a frequent word takes few binary
 decisions and every decision is predicted, mixed and paid for. The score is the log of the
 probability of all of them, in the order of the text.
@@ -19,7 +19,7 @@ side by side: contexts reach across lanes, what was learnt along a lane doesn't.
 What is gathered grows with the input: counts of all words, bits of all training documents,
 the mixer's start from one in seven. The tables double with the training text up to
 ``2 ** table_bits`` slots a predictor (default 22: 4 MB each), the bound of what is
-broadcast; beyond it contexts share slots. So are the ``head`` words (default 32,768); the
+broadcast; beyond it contexts share slots. So are the ``head`` words (default 131,072); the
 base score's counts of all others are joined.
 
 Null text counts as empty: it has one token, its end. Repeated rows (equal id and text)
@@ -47,15 +47,17 @@ from lockgate.llm.common import Work, remainder
 
 PREDICTORS = 4
 LANE = 256  # symbols
-LANES = 2048  # side by side
+LANES = 1536  # side by side
+COUNTED = 256  # lanes whose bits are counted together
 SLICES = 16  # of one predictor's table
 FAN = 16  # parts that one task adds up
 LOCAL = 1024  # slots of a lane's own predictor
 GATES = 32
 CELLS = 49
 FLUSH = 300_000
-GROUP = 4 << 20  # bytes of text encoded together
+GROUP = 3 << 20  # bytes of text encoded together
 TOPICS = 64
+RARE = 3  # words seen no oftener are spelled, so that escapes are learnt
 RATE = 0.015
 LN10 = math.log(10)
 END = b""
@@ -343,11 +345,11 @@ def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a)
 
 
-def _walked(texts: Texts, code: Code, table_bits: int) -> Iterator[tuple[np.ndarray, Bits]]:
-    """(texts of lanes, their decisions), ``LANES`` at a time."""
+def _walked(texts: Texts, code: Code, table_bits: int, lanes: int = LANES) -> Iterator[tuple[np.ndarray, Bits]]:
+    """(texts of lanes, their decisions), some lanes at a time."""
     text, start, size = lanes_of(texts)
-    for a in range(0, len(text), LANES):
-        part = slice(a, a + LANES)
+    for a in range(0, len(text), lanes):
+        part = slice(a, a + lanes)
         yield text[part], decisions(texts, code, text[part], start[part], size[part], table_bits)
 
 
@@ -397,7 +399,7 @@ def _bit_counts(rows: DataFrame, code, table_bits: int, work: Work, name: str) -
             texts = encode(batch.column("text").to_pylist(), code.value)
             if tables is None:
                 tables = np.zeros((PREDICTORS, 2 << table_bits), np.uint32)
-            for _, bits in _walked(texts, code.value, table_bits):
+            for _, bits in _walked(texts, code.value, table_bits, COUNTED):
                 for i in range(PREDICTORS):
                     np.add.at(tables[i], bits.slots[i] * 2 + bits.bits, np.uint32(1))
         if tables is not None:
@@ -448,10 +450,7 @@ def _start(rows: DataFrame, code, tables) -> Start:
         own, mass, bits_seen = Start.neutral(), np.zeros(GATES), 0
         for batch in _groups(batches):
             texts = encode(batch.column("text").to_pylist(), code.value)
-            text, start, size = lanes_of(texts)
-            for a in range(0, len(text), 256):
-                part = slice(a, a + 256)
-                bits = decisions(texts, code.value, text[part], start[part], size[part], tables.value.table_bits)
+            for _, bits in _walked(texts, code.value, tables.value.table_bits, LANES // 2):
                 _, own, used = mix(tables.value, bits, own)
                 mass += used
                 bits_seen += len(bits.bits)
@@ -479,7 +478,7 @@ def scored(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    head: int = 32_768,
+    head: int = 131_072,
     table_bits: int = 22,
 ) -> DataFrame:
     """One row per document: counts, base_score, score and bits_per_byte."""
@@ -498,7 +497,7 @@ def scored(
     total, distinct, n_bytes = (v or 0 for v in sums)
     size = total + distinct + 1
     # fewer than 32 * head words are this frequent, so few reach the task that picks the head
-    frequent = words.filter((F.col("c") > total // (32 * head)) & (F.length("word") > 0))
+    frequent = words.filter((F.col("c") > max(RARE, total // (32 * head))) & (F.length("word") > 0))
     top = [(bytes(r.word), r.c) for r in frequent.orderBy(F.col("c").desc(), "word").limit(head).collect()]
     ends = words.filter(F.length("word") == 0).first()
     top.append((END, ends.c if ends else 0))
