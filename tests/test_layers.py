@@ -248,3 +248,12 @@ def test_a_layer_can_be_replaced_by_what_is_read_from_it(spark, tmp_path):
     rows = spark.read.schema(DDL).parquet(str(path)).filter(F.dayofmonth("pickup_date") < 4)
     write_layer(rows, str(path), replace_all=True)
     assert contents(spark, path) == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_trip_ids_of_any_text_are_written_as_they_came(spark, tmp_path):
+    ids = ["0aff", "0AFF", "aff", "", "g1", None, "ab" * 32]
+    rows = spark.createDataFrame([(i, day) for i in ids for day in DAYS[:2]], "trip_id string, pickup_date date")
+    write_layer(rows, str(tmp_path / "t"))
+    stored = spark.read.schema(rows.schema).parquet(str(tmp_path / "t"))
+    assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))
+    assert all(".zstd." in p.name for p in (tmp_path / "t").glob("pickup_date=*/*.parquet"))

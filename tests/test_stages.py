@@ -252,3 +252,21 @@ def test_late_rows_change_their_days_only(spark, tmp_path):
 
 def second_load_rows(spark, config):
     return spark.read.parquet(config.input_path).count()
+
+
+def test_rows_are_staged_without_being_sorted_by_verdict(spark, tmp_path, monkeypatch):
+    places, scratch, record = [], stages.storage.scratch_path, stages._record
+
+    def placed(*args):
+        places.append(scratch(*args))
+        return places[-1]
+
+    def recorded(*args):
+        staged = Path(places[-1].removeprefix("file:"))
+        assert list(staged.glob("*.parquet")) and not list(staged.glob("_dq_kept=*"))
+        record(*args)
+
+    monkeypatch.setattr(stages.storage, "scratch_path", placed)
+    monkeypatch.setattr(stages, "_record", recorded)
+    result = stages.run_bronze(RunConfig(str(tmp_path / "w"), feed(spark, tmp_path)), spark)
+    assert (result.rows_out, result.rows_quarantined) == (5923, 211)

@@ -210,3 +210,32 @@ def test_sums_are_exact_in_any_order(spark, conf, ansi):
     assert got["mixed"] == pytest.approx(math.fsum(values), rel=1e-15)
     assert got["tiny"] == pytest.approx(3.6e-26) and got["none"] is None and got["some"] == -2.5
     assert math.isnan(got["nan"]) and got["inf"] == math.inf and got["far"] == 1e200
+
+
+def test_large_input_tasks_are_not_sorted_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(t, "SORTED_ROWS", 2)
+    rows = [(*trip(vendor_id=n % 7), float(n % 3)) for n in range(40)]
+    df = t.add_trip_id(spark.createDataFrame(rows, KEY + ", tip_amount double"))
+
+    def sorts_early(found):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        return plan.rindex("Sort") > plan.index("Exchange")
+
+    once = t.deduplicate(df)
+    assert not sorts_early(once) and {r.tip_amount for r in once.collect()} == {0.0}
+    monkeypatch.setattr(t, "HOT_ROWS", 3)
+    assert sorts_early(t.deduplicate(df))
+    assert sorted(map(str, t.deduplicate(df).collect())) == sorted(map(str, once.collect()))
+
+
+@pytest.mark.parametrize("sorted_rows", [0, 100])
+def test_keys_of_any_text_are_told_apart(spark, monkeypatch, sorted_rows):
+    monkeypatch.setattr(t, "SORTED_ROWS", sorted_rows)
+    keys = ["0aff", "0AFF", "aff", "00", "0", "", "g1", "a b", None]
+    df = spark.createDataFrame([(k, n) for n in range(3) for k in keys], "k string, n int").repartition(4)
+    found = t.deduplicate(df, "k")
+    assert found.columns == ["k", "n"] and sorted(map(str, found.collect())) == sorted(
+        map(str, spark.createDataFrame([(k, 0) for k in keys], "k string, n int").collect())
+    )
+    assert t.deduplicate(df.select("n", "k"), "n").count() == 3
+    assert t.deduplicate(df.limit(0), "k").count() == 0
