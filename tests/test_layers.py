@@ -257,3 +257,25 @@ def test_trip_ids_of_any_text_are_written_as_they_came(spark, tmp_path):
     stored = spark.read.schema(rows.schema).parquet(str(tmp_path / "t"))
     assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))
     assert all(".zstd." in p.name for p in (tmp_path / "t").glob("pickup_date=*/*.parquet"))
+
+
+def test_a_large_merge_shuffles_once_and_keeps_days_together(spark, monkeypatch, tmp_path):
+    from lockgate.operators import trips
+
+    days = 3
+    rows = spark.range(0, 6000, 1, 6).select(
+        F.sha2((F.col("id") % 2000).cast("string"), 256).alias("id"),
+        F.date_add(F.lit(DAYS[0]), (F.col("id") % 2000 % days).cast("int")).alias("pickup_date"),
+        F.col("id").cast("string").alias("kind"),
+    )
+    found = []
+    for bound in (10**9, 0):
+        monkeypatch.setattr(trips, "SORTED_ROWS", bound)
+        path = tmp_path / str(bound)
+        for part in (rows.filter("kind < '3'"), rows):
+            merge_layer(part, str(path), rows.schema, key="id")
+        assert len(list(path.glob("pickup_date=*/*.parquet"))) < days + 6
+        found.append(sorted(map(str, spark.read.schema(rows.schema).parquet(str(path)).collect())))
+    assert found[0] == found[1] and len(found[0]) == 2000
+    merged = trips.first_copies(trips.gathered(rows, "id", ["pickup_date"]), "id", ["pickup_date"])
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1

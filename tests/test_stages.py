@@ -264,6 +264,7 @@ def test_rows_are_staged_without_being_sorted_by_verdict(spark, tmp_path, monkey
     def recorded(*args):
         staged = Path(places[-1].removeprefix("file:"))
         assert list(staged.glob("*.parquet")) and not list(staged.glob("_dq_kept=*"))
+        assert "trip_id" not in spark.read.parquet(str(staged)).columns
         record(*args)
 
     monkeypatch.setattr(stages.storage, "scratch_path", placed)

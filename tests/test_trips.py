@@ -239,3 +239,5 @@ def test_keys_of_any_text_are_told_apart(spark, monkeypatch, sorted_rows):
     )
     assert t.deduplicate(df.select("n", "k"), "n").count() == 3
     assert t.deduplicate(df.limit(0), "k").count() == 0
+    many = spark.range(60_000).select((F.col("id") % 50_000).alias("k"), F.col("id").alias("n"))
+    assert t.deduplicate(many, "k").count() == 50_000
