@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lockgate.functions.expressions import packed_text
 from lockgate.operators import rules as r
 from lockgate.operators.evaluate import FAILURES, evaluate, measure, split
 from lockgate.operators.rulesets import bronze_ruleset, gold_ruleset, silver_ruleset
@@ -119,3 +120,16 @@ def test_the_shipped_rule_sets(spark):
     # A warning may still divert rows.
     assert policies["accepted_values[rate_code_id]"].severity == "warn"
     assert policies["accepted_values[rate_code_id]"].quarantine
+
+
+def test_texts_are_counted_as_different_bytes(spark):
+    texts = ["ab" * 32, "AB" * 32, "", "a", "ab", "\x01ab", "zz", "ü", None, None, "ab"]
+    df = spark.createDataFrame([(x,) for x in texts], "id string")
+    codes = [row[0] for row in df.select(packed_text("id")).collect()]
+    assert len(codes[0]) == 33 and codes.count(None) == 2
+    assert len(set(codes)) == len(set(texts))
+    rules = r.RuleSet("r", (), (r.unique("id"), r.unique("n")))
+    report = evaluate(df.withColumn("n", F.lit(1)), rules).orderBy("position").collect()
+    assert [row.metric for row in report] == [1.0, 10.0]
+    plan = evaluate(df, r.RuleSet("r", (), (r.unique("id"),)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in plan
