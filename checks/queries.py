@@ -13,6 +13,7 @@ from lockgate import layouts as L
 from lockgate.functions.expressions import exact_sum, ratio, utc_clock, utc_instant
 from lockgate.operators import drift, gate, history, report, trend
 from lockgate.operators.evaluate import FAILURES, evaluate, split
+from lockgate.operators.mart import INPUT as MART_INPUT
 from lockgate.operators.mart import daily_zone_metrics
 from lockgate.operators.rules import (
     RuleSet,
@@ -62,9 +63,9 @@ def bronze_halves(spark, sf_dir, period=CLEAN_FEED) -> tuple[DataFrame, DataFram
 
 
 def enriched(spark, sf_dir, period=CLEAN_FEED) -> DataFrame:
-    """Distinct, enriched trips, written once as between two stages."""
+    """Distinct, enriched trips."""
     kept, _ = bronze_halves(spark, sf_dir, period)
-    return stage_table(enrich(deduplicate(kept)), "enriched")[0]
+    return enrich(deduplicate(kept))
 
 
 def silver(spark, sf_dir, period=CLEAN_FEED) -> DataFrame:
@@ -72,7 +73,9 @@ def silver(spark, sf_dir, period=CLEAN_FEED) -> DataFrame:
 
 
 def gold(spark, sf_dir, period=CLEAN_FEED, sort=True) -> DataFrame:
-    return daily_zone_metrics(silver(spark, sf_dir, period), sort=sort)
+    """The mart of silver, which is written once as between two stages, as far as it is read."""
+    trips_kept = silver(spark, sf_dir, period).select(*MART_INPUT)
+    return daily_zone_metrics(stage_table(trips_kept, "silver")[0], sort=sort)
 
 
 def utc_times(df: DataFrame) -> DataFrame:
@@ -508,8 +511,11 @@ def report_json_roundtrip(spark, sf_dir):
 
 
 def report_summary_lines(spark, sf_dir):
+    """Reports of two layers; of the second, the columns that its rules name are written once."""
+    measured = enriched(spark, sf_dir).select(*silver_ruleset().columns())
+    measured, _ = stage_table(measured, "enriched")
     results = bronze_report(spark, sf_dir, DIRTY_FEED).unionByName(
-        evaluate(enriched(spark, sf_dir), silver_ruleset())
+        evaluate(measured, silver_ruleset())
     )
     return results.select("stage", "position", report.rule_line().alias("line"))
 

@@ -13,7 +13,7 @@ from lockgate import layouts as L
 from lockgate.operators.drift import SchemaDriftError
 from lockgate.operators.evaluate import FAILURES, as_measures, evaluate, measured_apart, results_of, route
 from lockgate.operators.gate import QualityGateFailed
-from lockgate.operators.mart import daily_zone_metrics
+from lockgate.operators.mart import INPUT, daily_zone_metrics
 from lockgate.operators.history import History
 from lockgate.operators.rules import RuleSet, row_count_at_least, unique
 from lockgate.operators.rulesets import bronze_ruleset, silver_ruleset
@@ -271,3 +271,17 @@ def test_rows_are_staged_without_being_sorted_by_verdict(spark, tmp_path, monkey
     monkeypatch.setattr(stages, "_record", recorded)
     result = stages.run_bronze(RunConfig(str(tmp_path / "w"), feed(spark, tmp_path)), spark)
     assert (result.rows_out, result.rows_quarantined) == (5923, 211)
+
+
+def test_a_query_stages_no_more_columns_than_it_reads(spark, monkeypatch):
+    staged = []
+
+    def stage_table(df, label):
+        staged.append(df.columns)
+        return df, label
+
+    monkeypatch.setattr(q, "stage_table", stage_table)
+    q.gold(spark, SF)
+    q.report_summary_lines(spark, SF)
+    assert sorted(staged[0]) == sorted(INPUT) and "total_amount" not in staged[1]
+    assert "trip_id" not in staged[0] and "trip_id" in staged[1]

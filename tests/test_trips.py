@@ -241,3 +241,27 @@ def test_keys_of_any_text_are_told_apart(spark, monkeypatch, sorted_rows):
     assert t.deduplicate(df.limit(0), "k").count() == 0
     many = spark.range(60_000).select((F.col("id") % 50_000).alias("k"), F.col("id").alias("n"))
     assert t.deduplicate(many, "k").count() == 50_000
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_ids_worked_out_from_the_row_do_not_cross_a_shuffle(spark, monkeypatch, kind):
+    monkeypatch.setattr(t, "SORTED_ROWS", 0)
+    fields = KEY.replace("timestamp_ntz", kind) + ", tip_amount double"
+    moment = NOON.replace(tzinfo=timezone.utc) if kind == "timestamp" else NOON
+    rows = [(1, moment, None, 3, 4, 1.5, -0.0, float(n), 1.0) for n in range(6)]
+    rows += [(*row[:-1], 0.5) for row in rows]
+    dated = t.add_trip_id(spark.createDataFrame(rows, fields))
+    own = ["by-hand", "", "ab", "AB", None, "0" * 64]
+    n = F.col("total_amount").cast("int") + 1
+    other = dated.withColumn("trip_id", F.get(F.array(*map(F.lit, own)), n - 1))
+    both = dated.unionByName(other.withColumn("tip_amount", F.lit(2.0)))
+    carried, value = t.narrowed(both, "trip_id")
+    crossing = F.col("trip_id").isNotNull() | F.col("_trip_id_bytes").isNotNull()
+    assert carried.filter(crossing).count() == 2 * (len(own) - 1)
+    restored = carried.select(value.alias("trip_id"), *dated.drop("trip_id").columns)
+    assert not restored.exceptAll(both.select(*restored.columns)).count()
+    assert not both.select(*restored.columns).exceptAll(restored).count()
+    kept = t.deduplicate(both)
+    assert kept.count() == 12
+    assert {row.tip_amount for row in kept.join(dated, "trip_id", "left_semi").collect()} == {0.5}
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
