@@ -285,3 +285,25 @@ def test_a_query_stages_no_more_columns_than_it_reads(spark, monkeypatch):
     q.report_summary_lines(spark, SF)
     assert sorted(staged[0]) == sorted(INPUT) and "total_amount" not in staged[1]
     assert "trip_id" not in staged[0] and "trip_id" in staged[1]
+
+
+def test_ids_that_follow_from_their_row_are_not_staged(spark, monkeypatch, tmp_path):
+    config = RunConfig(str(tmp_path / "w"), feed(spark, tmp_path), run_id="r")
+    stages.run_bronze(config, spark)
+    places, scratch, delete = {}, stages.storage.scratch_path, stages.storage.delete
+
+    def placed(session, label):
+        places[label] = scratch(session, label)
+        return places[label]
+
+    with monkeypatch.context() as patch:
+        patch.setattr(stages.storage, "scratch_path", placed)
+        patch.setattr(stages.storage, "delete", lambda session, path: path in places.values() or delete(session, path))
+        stages.run_silver(config, spark)
+    staged = spark.read.parquet(places["silver"])
+    ids = staged.agg(F.count("trip_id"), F.count("_trip_id_bytes"), F.count(F.lit(1))).first()
+    delete(spark, places["silver"])
+    silver = spark.read.schema(L.SILVER_LAYOUT).parquet(config.layer_path("silver"))
+    bronze = spark.read.schema(L.BRONZE_LAYOUT).parquet(config.layer_path("bronze"))
+    assert tuple(ids)[:2] == (0, 0) and ids[2] >= silver.count() > 0
+    assert not silver.select("trip_id").exceptAll(bronze.select("trip_id")).count()
