@@ -21,7 +21,9 @@ from lockgate.operators.trend import compare_runs
 from lockgate.operators.trips import deduplicate, enrich
 from lockgate.plans import stages
 from lockgate.plans.config import RunConfig
-from lockgate.sources.layers import NothingToPublish
+from lockgate.operators import trips as trip_steps
+from lockgate.sources import layers
+from lockgate.sources.layers import NothingToPublish, read_layer, write_layer
 
 SF = "/root/testdata/sf0.001"
 DAY = date(2026, 6, 3)
@@ -307,3 +309,26 @@ def test_ids_that_follow_from_their_row_are_not_staged(spark, monkeypatch, tmp_p
     bronze = spark.read.schema(L.BRONZE_LAYOUT).parquet(config.layer_path("bronze"))
     assert tuple(ids)[:2] == (0, 0) and ids[2] >= silver.count() > 0
     assert not silver.select("trip_id").exceptAll(bronze.select("trip_id")).count()
+
+
+@pytest.mark.parametrize("by_hand", [False, True])
+def test_silver_shuffles_rows_once_for_copies_and_days(spark, monkeypatch, tmp_path, by_hand):
+    """Many rows: as few rows give it, in files of few days, without a second shuffle; ids that
+    do not follow from their row may have copies on several days."""
+    config = RunConfig(str(tmp_path / "w"), feed(spark, tmp_path), run_id="r", enforce_gates=False)
+    stages.run_bronze(config, spark)
+    if by_hand:
+        bronze = spark.read.schema(L.BRONZE_LAYOUT).parquet(config.layer_path("bronze"))
+        given = bronze.withColumn("trip_id", F.when(F.hour("pickup_at") > 2, F.col("trip_id")).otherwise("twin"))
+        write_layer(given, config.layer_path("bronze"))
+    arranged, arrange, found = [], layers._arranged, []
+    monkeypatch.setattr(layers, "_arranged", lambda df, by: arranged.append(by) or arrange(df, by))
+    for bound in (10**9, 0):
+        monkeypatch.setattr(trip_steps, "SORTED_ROWS", bound)
+        result = stages.run_silver(config, spark)
+        rows = read_layer(spark, config.layer_path("silver"), L.SILVER_LAYOUT)
+        report = result.report.drop("stage").collect()
+        found.append((result.rows_in, result.rows_out, result.rows_quarantined, sorted(map(str, report + rows.collect()))))
+    assert found[0] == found[1] and found[0][1] > 0
+    assert len(arranged) == (2 if by_hand else 1)
+    assert len(list(Path(config.layer_path("silver")).glob("pickup_date=*/*.parquet"))) <= 7 + 8
