@@ -207,25 +207,26 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _contexts(length: int, single: bool):
-    """Bytes of a document's open regions, or of each string in them if ``single``."""
+def _contexts(length: int):
+    """Bytes of a document's open regions, or of each string in those that are ``single``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "id", "start", "strings", "bytes"]
+        names = ["key", "id", "start", "strings", "bytes", "single"]
         for batch in batches:
-            at, keys, starts, counts, held, size = [], [], [], [], [], 0
+            at, keys, starts, counts, held, alone, size = [], [], [], [], [], [], 0
 
             def out():
                 return pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64()), batch.column("id").take(pa.array(at, pa.int64())),
-                     pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(held, pa.binary())], names)
+                     pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(held, pa.binary()),
+                     pa.array(alone, pa.bool_())], names)
 
             for i, (text, found) in enumerate(
                 zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True)
             ):
                 for f in found:
                     low, n = f["place"] >> 16, (f["place"] >> 8) & 255
-                    spans = [(low + t, 1) for t in range(n)] if single else [(low, n)]
+                    spans = [(low + t, 1) for t in range(n)] if f["single"] else [(low, n)]
                     for start, m in spans:
                         own = text[start : start + m - 1 + length]
                         at.append(i)
@@ -233,10 +234,11 @@ def _contexts(length: int, single: bool):
                         starts.append(start)
                         counts.append(m)
                         held.append(own)
+                        alone.append(f["single"])
                         size += len(own)
                 if size > 4 << 20:
                     yield out()
-                    at, keys, starts, counts, held, size = [], [], [], [], [], 0
+                    at, keys, starts, counts, held, alone, size = [], [], [], [], [], [], 0
             if at:
                 yield out()
 
@@ -365,18 +367,23 @@ def repeated_spans(docs: DataFrame, length: int = 100, hot: int = 5_000) -> Data
     heads = met.filter("open")
     many = heads.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot)
     many = work.write(many.select("key"), "many")
-
-    def contexts(regions: DataFrame, single: bool) -> DataFrame:
-        listed = regions.groupBy("id").agg(F.collect_list(F.struct("key", "place")).alias("found"))
-        return named.join(listed, "id").select("id", "text", "found").mapInArrow(
-            _contexts(length, single), f"key long, id {kind}, start long, strings long, bytes binary"
-        )
-
-    sorted_ = contexts(heads.join(many, "key", "left_anti"), False).repartition("key").sortWithinPartitions("key")
+    any_hot = not many.isEmpty()
+
+    # the texts are joined once, for the regions and for the strings of hot anchors
+    marked = heads.join(many.withColumn("single", F.lit(True)), "key", "left")
+    region = F.struct("key", "place", F.coalesce("single", F.lit(False)).alias("single"))
+    listed = marked.groupBy("id").agg(F.collect_list(region).alias("found"))
+    contexts = named.join(listed, "id").select("id", "text", "found").mapInArrow(
+        _contexts(length), f"key long, id {kind}, start long, strings long, bytes binary, single boolean"
+    )
+    if any_hot:
+        contexts = work.write(contexts, "contexts")
+    whole = contexts.filter("not single").drop("single")
+    sorted_ = whole.repartition("key").sortWithinPartitions("key")
     some = work.write(sorted_.mapInArrow(_removed(length), f"id {kind}, start long, end long"), "some")
-    if not many.isEmpty():
-        strings = contexts(heads.join(many, "key"), True).select("id", "start", "bytes")
-        some = some.unionByName(_hot_spans(work, work.write(strings, "strings"), length))
+    if any_hot:
+        strings = contexts.filter("single").select("id", "start", "bytes")
+        some = some.unionByName(_hot_spans(work, strings, length))
     start = F.shiftright("place", 16)
     end = start + F.shiftright("place", 8).bitwiseAND(255) - 1 + length
     return met.filter("not open").select("id", start.alias("start"), end.alias("end")).unionByName(some)

@@ -594,3 +594,17 @@ def test_empty_tables(empty, labels, spark):
         quality_rules.judged(empty, quality_rules.learn_from(empty, no_labels, Work(spark, "none"))),
     ]
     assert [f.count() for f in frames] == [0] * 10
+
+
+def test_texts_are_joined_once_for_hot_and_other_regions(spark, monkeypatch):
+    joins, contexts = [], suffix_dedup._contexts
+    monkeypatch.setattr(suffix_dedup, "_contexts", lambda *args: joins.append(args) or contexts(*args))
+    rng = random.Random(9)
+    passage, other = ("".join(rng.choices("abcdefgh", k=150)) for _ in range(2))
+    own = ["".join(rng.choices("ijklmnop", k=120)) for _ in range(60)]
+    rows = [(i, (x + (passage if i < 55 else other) + x[::-1]).encode()) for i, x in enumerate(own)]
+    docs = spark.createDataFrame(rows, "id long, text binary").repartition(4)
+    spans = suffix_dedup.repeated_spans(docs, hot=20).collect()
+    covered = {(r.id, x) for r in spans for x in range(r.start, r.end)}
+    assert {(i, x) for i in range(60) if i not in (0, 55) for x in range(120, 270)} <= covered
+    assert not {i for i, _ in covered} & {0, 55} and len(joins) == 1
