@@ -15,6 +15,13 @@ components are verified, after parity bitmaps of the sets, a few bits for each s
 have ruled out most: they differ in no more places than the sets do. That loses no link between components, and a group of thousands
 of near copies costs as many pairs as it has members.
 
+Families whose members are alike but below the threshold share most of their prefixes. There
+each member is put as its difference from a centre, a member that shares most with all. Two
+members differ in as many shingles as their differences hold, without those that are in both,
+so a pair that links needs differences that overlap by a known number; prefixes of the
+differences find such pairs. What a family has in common isn't in them, as far as its
+centre has it too; what sets the centre apart is in all of them and costs pairs, not links.
+
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. Fewer than five words are one
 shingle; null and empty texts have none and link with nothing. Rows of equal id are one
 document, whose links are those of any of its rows; rows without an id link with nothing.
@@ -36,7 +43,7 @@ from lockgate.llm.components import components
 from lockgate.llm.rolling import Ranges
 
 CHUNK = 1 << 20
-LEADERS = 2  # further rounds of leaders
+CROWD = 16  # documents of a token from which on they may be a family
 SLICES = 64
 LOAD = 32  # shingles that a counter of the sketch holds on average
 SMALLEST, LARGEST = 14, 26  # bits of the sketch: a broadcast of 16 KB to 64 MB
@@ -126,11 +133,15 @@ def _classes(sketched: DataFrame, bits: int) -> np.ndarray:
     return classes.ravel()
 
 
-def _prefixes(rows: DataFrame, classes: np.ndarray, width: int, percent: int) -> DataFrame:
+def _by_rarity(own: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Shingles as tokens, from rare to frequent."""
+    rank = classes[own & np.uint64(len(classes) - 1)].astype(np.uint64)
+    return np.sort((rank << np.uint64(58)) | own)
+
+
+def _prefixes(rows: DataFrame, shared, width: int, percent: int) -> DataFrame:
     """(token, id, meta) of each document's prefix; meta is n * 8 + the matches asked for."""
     kind = dict(rows.dtypes)["id"]
-    shared = rows.sparkSession.sparkContext.broadcast(classes)
-    low = np.uint64(len(classes) - 1)
     guess = 2.0 ** np.arange(64)
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,8 +149,7 @@ def _prefixes(rows: DataFrame, classes: np.ndarray, width: int, percent: int) ->
         for batch in batches:
             tokens, places, metas = [], [], []
             for i, own in shingle_sets(batch.column("text").to_pylist(), width):
-                rank = classes[own & low].astype(np.uint64)
-                own = np.sort((rank << np.uint64(58)) | own)
+                own = _by_rarity(own, classes)
                 n = len(own)
                 base = n - least_shared(n, percent) + 1
                 cost = guess[(own[:base] >> np.uint64(58)).astype(np.int64)].mean()
@@ -225,23 +235,31 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return held.select("a", "b", "text_a", "text_b").mapInArrow(check, f"a {kind}, b {kind}")
 
 
-def _parities(texts: DataFrame, width: int) -> DataFrame:
-    """(id, n, bits): a bitmap of 4 to 8 places a shingle, each the parity of its shingles."""
+def _parities(texts: DataFrame, shared, width: int) -> DataFrame:
+    """(id, n, bits, fame): a bitmap of 4 to 8 places a shingle, each the parity of its shingles.
+
+    ``fame`` is how frequent the shingles are in all documents, on average.
+    """
     kind = dict(texts.dtypes)["id"]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = shared.value
+        low = np.uint64(len(classes) - 1)
         for batch in batches:
             sizes, bits = [0] * batch.num_rows, [b""] * batch.num_rows
+            fame = np.zeros(batch.num_rows)
             for i, own in shingle_sets(batch.column("text").to_pylist(), width):
                 places = 1 << max(6, (4 * len(own) - 1).bit_length())
                 at = (own & np.uint64(places - 1)).astype(np.int64)
                 bits[i] = np.packbits((np.bincount(at, minlength=places) & 1).astype(np.uint8)).tobytes()
                 sizes[i] = len(own)
+                fame[i] = np.exp2(classes[own & low], dtype=float).mean()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())], ["id", "n", "bits"]
+                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), pa.array(fame)],
+                ["id", "n", "bits", "fame"],
             )
 
-    return texts.mapInArrow(fold, f"id {kind}, n long, bits binary")
+    return texts.mapInArrow(fold, f"id {kind}, n long, bits binary, fame double")
 
 
 def difference_at_least(a: bytes, b: bytes) -> int:
@@ -272,12 +290,24 @@ def _possible(pairs: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
     return held.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(check, f"a {kind}, b {kind}")
 
 
-def _open(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """(token, id, meta, comp) of the tokens that occur in several components."""
+def _open(rows: DataFrame, comps: DataFrame, members: DataFrame | None = None) -> DataFrame:
+    """(token, id, meta, comp) of the tokens that occur in several components.
+
+    With ``members``, also each document's ``centre``; tokens that only one family has go.
+    """
     placed = rows.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     token = Window.partitionBy("token")
     placed = placed.withColumn("low", F.min("comp").over(token)).withColumn("high", F.max("comp").over(token))
-    return placed.filter("low <> high").select("token", "id", "meta", "comp")
+    if members is None:
+        return placed.filter("low <> high").select("token", "id", "meta", "comp")
+    placed = placed.join(members.select("id", "centre"), "id", "left")
+    placed = (
+        placed.withColumn("least", F.min("centre").over(token))
+        .withColumn("most", F.max("centre").over(token))
+        .withColumn("alone", F.count_if(F.col("centre").isNull()).over(token))
+    )
+    several = F.col("least").isNull() | (F.col("least") != F.col("most")) | (F.col("alone") > 0)
+    return placed.filter((F.col("low") != F.col("high")) & several).select("token", "id", "meta", "comp", "centre")
 
 
 def _popular(rows: DataFrame, percent: int) -> DataFrame:
@@ -298,6 +328,107 @@ def _popular(rows: DataFrame, percent: int) -> DataFrame:
     return best.select(F.col("id").alias("a"), F.col("best.leader").alias("b"))
 
 
+def _centres(rows: DataFrame, parities: DataFrame) -> DataFrame:
+    """(a, b): documents with crowded tokens, and the one that has most of these of a.
+
+    The leader of a token is, of its documents, the one with the most frequent shingles: what
+    sets a member of a family apart is rare.
+    """
+    token = Window.partitionBy("token")
+    crowded = rows.withColumn("df", F.count("*").over(token)).filter(F.col("df") >= CROWD)
+    fame = parities.groupBy("id").agg(F.max("fame").alias("fame"))
+    leader = F.first("id").over(token.orderBy(F.col("fame").desc(), "id"))
+    votes = crowded.join(fame, "id").withColumn("leader", leader).groupBy("id", "leader").agg(F.count("*").alias("shared"))
+    best = votes.groupBy("id").agg(F.max(F.struct("shared", "leader")).alias("best"))
+    return best.select(F.col("id").alias("a"), F.col("best.leader").alias("b"))
+
+
+def _deltas(pairs: DataFrame, texts: DataFrame, shared, width: int, percent: int) -> DataFrame:
+    """(id, centre, token, excess, rest): the prefix of each a's difference from its b.
+
+    Sets x and y of sizes n and m link when they differ in at most (n + m) * (100 - percent) /
+    (100 + percent) shingles. They differ in dx + dy - 2 * common, where dx and dy are their
+    differences from the centre. With ``excess`` dx * (100 + percent) - n * (100 - percent) that
+    is: 2 * (100 + percent) * common >= excess of x + excess of y. ``rest`` is the left side if all
+    from this token on were common, so the first common token of a pair that links has
+    a rest on both sides that is large enough.
+
+    A row without token says that the document has the centre; its rest is the largest excess
+    with which a document links with the centre itself. Documents that are not much like
+    their centre get no rows.
+    """
+    kind = dict(pairs.dtypes)["a"]
+    plus, minus = 100 + percent, 100 - percent
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = shared.value
+        for batch in batches:
+            left = dict(shingle_sets(batch.column("text_a").to_pylist(), width))
+            right = dict(shingle_sets(batch.column("text_b").to_pylist(), width))
+            places, tokens, excesses, rests = [], [], [], []
+            for i, x in left.items():
+                centre = right.get(i)
+                if centre is None:
+                    continue
+                own = np.setxor1d(x, centre, assume_unique=True)
+                if 2 * len(own) > len(x) + len(centre):
+                    continue
+                excess, reach = len(own) * plus - len(x) * minus, len(centre) * minus
+                # documents in other components than the centre's have more than reach, all others no less than -reach
+                other = reach if excess <= reach else -reach
+                rest = 2 * plus * np.arange(len(own), 0, -1)
+                rest = rest[rest >= excess + other]
+                places.append(np.full(len(rest) + 1, i))
+                tokens.append(np.r_[_by_rarity(own, classes)[: len(rest)], np.uint64(0)])
+                excesses.append(np.full(len(rest) + 1, excess))
+                rests.append(np.r_[rest, reach])
+            if not places:
+                continue
+            at, token, excess, rest = map(np.concatenate, (places, tokens, excesses, rests))
+            mark = np.cumsum([len(p) for p in places]) - 1
+            none = np.zeros(len(at), bool)
+            none[mark] = True
+            for a in range(0, len(at), 100_000):
+                cut = slice(a, a + 100_000)
+                take = pa.array(at[cut])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a").take(take), batch.column("b").take(take),
+                     pa.array(token[cut].view(np.int64), mask=none[cut]), pa.array(excess[cut]), pa.array(rest[cut])],
+                    ["id", "centre", "token", "excess", "rest"],
+                )
+
+    held = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    held = held.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    return held.select("a", "b", "text_a", "text_b").mapInArrow(
+        differ, f"id {kind}, centre {kind}, token long, excess long, rest long"
+    )
+
+
+def _members(deltas: DataFrame) -> DataFrame:
+    """(id, centre, links): documents of one text each, whether they link with their centre."""
+    marks = deltas.filter("token is null").groupBy("id").agg(
+        F.count("*").alias("times"), F.first("centre").alias("centre"), F.first(F.expr("excess <= rest")).alias("links")
+    )
+    return marks.filter("times = 1").drop("times")
+
+
+def _akin(deltas: DataFrame, members: DataFrame, comps: DataFrame) -> DataFrame:
+    """``deltas`` with comp, of the tokens that members of a family have in several components."""
+    rows = deltas.filter("token is not null").join(members.select("id"), "id", "left_semi")
+    placed = rows.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    token = Window.partitionBy("centre", "token")
+    placed = placed.withColumn("low", F.min("comp").over(token)).withColumn("high", F.max("comp").over(token))
+    return placed.filter("low <> high").drop("low", "high")
+
+
+def _across(links: DataFrame, comps: DataFrame) -> DataFrame:
+    """``links`` (a, b) between different components."""
+    for end in "ab":
+        own = comps.select(F.col("id").alias(end), F.col("comp").alias(f"comp_{end}"))
+        links = links.join(own, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+    return links.filter("comp_a <> comp_b").select("a", "b")
+
+
 def near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -318,7 +449,8 @@ def near_copies(
     classes = _classes(sketched, bits)
 
     named = rows.filter("id is not null")
-    prefixes = _prefixes(named, classes, width, percent)
+    shared_classes = spark.sparkContext.broadcast(classes)
+    prefixes = _prefixes(named, shared_classes, width, percent)
     sorted_ = prefixes.repartition("token").sortWithinPartitions("token", "id")
     kind = dict(rows.dtypes)["id"]
     shared = sorted_.mapInArrow(
@@ -339,26 +471,45 @@ def near_copies(
     links = work.write(_verified(stars, texts, width, percent), "links")
     comps = components(links, work, "star")
 
-    parities = work.write(_parities(texts, width), "parities")
+    parities = work.write(_parities(texts, shared_classes, width), "parities")
 
-    # more leaders: the documents that share most tokens of those left
+    # other leaders: the documents that share most tokens of those left
     open_ = work.write(_open(shared.select("token", "id", "meta"), comps), "open0")
     work.drop("shared")
-    for turn in range(1, LEADERS + 1):
-        stars = work.write(_popular(open_, percent), f"popular{turn}")
-        stars = work.write(_possible(stars, parities, percent), f"near{turn}")
-        found = work.write(_verified(stars, texts, width, percent), f"links{turn}")
-        if found.isEmpty():
-            break
+    stars = work.write(_popular(open_, percent), "popular")
+    stars = work.write(_possible(stars, parities, percent), "near")
+    found = work.write(_verified(stars, texts, width, percent), "more_links")
+    if not found.isEmpty():
         links = links.unionByName(found)
-        comps = components(links, work, f"comps{turn}")
-        open_ = work.write(_open(open_.drop("comp"), comps), f"open{turn}")
-        work.drop(f"open{turn - 1}")
-
-    # what is left: pairs with enough shared tokens in different components
+        comps = components(links, work, "comps")
+        open_ = work.write(_open(open_.drop("comp"), comps), "open1")
+        work.drop("open0")
+
+    # families: members link with their centre, or with each other by how they differ from it
+    centres = work.write(_centres(open_, parities), "centres")
+    deltas = work.write(_deltas(centres, texts, shared_classes, width, percent), "deltas")
+    members = work.write(_members(deltas), "members")
+    found = members.filter("links").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    found = work.write(_across(found, comps), "family_links")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        comps = components(links, work, "families")
+    akin = work.write(_akin(deltas, members, comps), "akin")
+    open_ = work.write(_open(open_.drop("comp"), comps, members), "open2")
+    work.drop("deltas")
+    left, right = akin.alias("l"), akin.alias("r")
+    relatives = left.join(
+        right,
+        (F.col("l.centre") == F.col("r.centre")) & (F.col("l.token") == F.col("r.token"))
+        & (F.col("l.comp") < F.col("r.comp"))
+        & (F.least("l.rest", "r.rest") >= F.col("l.excess") + F.col("r.excess")),
+    ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
+
+    # what is left: pairs of no family with enough shared tokens in different components
     left, right = open_.alias("l"), open_.alias("r")
     pairs = (
         left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.comp") < F.col("r.comp"))
+                  & F.coalesce(F.col("l.centre") != F.col("r.centre"), F.lit(True))
                   & (100 * F.shiftright("l.meta", 3) >= percent * F.shiftright("r.meta", 3))
                   & (100 * F.shiftright("r.meta", 3) >= percent * F.shiftright("l.meta", 3)))
         .groupBy(F.col("l.id").alias("a"), F.col("r.id").alias("b"),
@@ -367,7 +518,7 @@ def near_copies(
         .filter(_plausible("ma", "mb", percent))
         .select("a", "b")
     )
-    pairs = work.write(_possible(pairs, parities, percent), "pairs")
+    pairs = work.write(_possible(pairs.unionByName(relatives), parities, percent), "pairs")
     more = work.write(_verified(pairs, texts, width, percent), "more")
     ends = comps if more.isEmpty() else components(links.unionByName(more), work, "all")
     out = sketched.filter("slice is null").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))

@@ -122,6 +122,36 @@ def test_parity_bitmaps_never_exceed_the_difference():
         assert jaccard.difference_at_least(bits(a, 1024), bits(b, 256)) <= len(a ^ b)
 
 
+def test_families_below_the_threshold_are_not_paired(spark, monkeypatch):
+    rng = random.Random(11)
+    base = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(200)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for _ in range((2 if i % 2 else 10) if i > 3 else 0):  # about 0.9 and 0.62 similar to the base
+            words[rng.randrange(len(words))] = f"new{rng.random()}"
+        rows.append((i, " ".join(words)))
+    rows.append((160, rows[12][1] + " one more"))  # links with a member, not with the base
+    rows += [(161, rows[6][1]), (161, rows[8][1])]  # rows of one id
+    rows.append((162, rows[10][1]))
+    seen, possible = [], jaccard._possible
+    monkeypatch.setattr(
+        jaccard, "_possible", lambda pairs, *args: seen.append(pairs.count()) or possible(pairs, *args)
+    )
+    found = by_id(jaccard.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+
+    sets = [(i, shingles(t)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+    for _ in range(8):
+        for i, x in sets:
+            for j, y in sets:
+                if 100 * len(x & y) >= 75 * len(x | y):
+                    root[i] = root[j] = min(root[i], root[j])
+    assert len(set(root.values())) > 50
+    assert root == {i: r.component_id for i, r in found.items()}
+    assert seen[-1] < 10 * len(rows)  # 80 documents stay alone: 80 * 160 pairs with all others
+
+
 def test_exact_groups(docs):
     norm = {i: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for i, t, *_ in ROWS}
     groups = {}
