@@ -47,7 +47,7 @@ from lockgate.llm.common import Work, remainder
 
 PREDICTORS = 4
 LANE = 256  # symbols
-LANES = 1536  # side by side
+LANES = 768  # side by side; what a task holds grows with them
 COUNTED = 256  # lanes whose bits are counted together
 SLICES = 16  # of one predictor's table
 FAN = 16  # parts that one task adds up
@@ -358,6 +358,7 @@ def logs_of(texts: Texts, code: Code, tables: Tables, begin: Start) -> np.ndarra
     out = np.zeros(len(texts.tails))
     for text, bits in _walked(texts, code, tables.table_bits):
         np.add.at(out, text, mix(tables, bits, begin)[0])
+        del bits  # before the next ones are made
     return out
 
 
@@ -450,7 +451,7 @@ def _start(rows: DataFrame, code, tables) -> Start:
         own, mass, bits_seen = Start.neutral(), np.zeros(GATES), 0
         for batch in _groups(batches):
             texts = encode(batch.column("text").to_pylist(), code.value)
-            for _, bits in _walked(texts, code.value, tables.value.table_bits, LANES // 2):
+            for _, bits in _walked(texts, code.value, tables.value.table_bits):
                 _, own, used = mix(tables.value, bits, own)
                 mass += used
                 bits_seen += len(bits.bits)

@@ -152,6 +152,19 @@ def test_families_below_the_threshold_are_not_paired(spark, monkeypatch):
     assert seen[-1] < 10 * len(rows)  # 80 documents stay alone: 80 * 160 pairs with all others
 
 
+def test_a_task_walks_few_lanes_at_a_time(monkeypatch):
+    held, mix = [], lm_scoring.mix
+    monkeypatch.setattr(lm_scoring, "mix", lambda t, bits, b: held.append(len(bits.size)) or mix(t, bits, b))
+    code = lm_scoring.Code.of([b"a", b"b", lm_scoring.END], [3, 2, 1], 1)
+    tables = lm_scoring.Tables(np.zeros((lm_scoring.PREDICTORS, 1 << 16), np.int8))
+
+    def logs(texts):
+        return lm_scoring.logs_of(lm_scoring.encode(texts, code), code, tables, lm_scoring.Start.neutral())
+
+    many = logs([b"a b c " * 100] * 1000)
+    assert np.array_equal(many, np.repeat(logs([b"a b c " * 100]), 1000)) and max(held) <= 768
+
+
 def test_exact_groups(docs):
     norm = {i: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for i, t, *_ in ROWS}
     groups = {}
