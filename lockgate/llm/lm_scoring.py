@@ -16,6 +16,9 @@ text, from a common start, which is learnt online by every task from documents t
 tables have not seen and averaged over tasks. A text is walked in lanes of ``LANE`` symbols,
 side by side: contexts reach across lanes, what was learnt along a lane doesn't.
 
+Texts are walked on executors by ``Lanes.java``, lane after lane; here is the same in numpy, lanes
+side by side, next to which it is tested, and all that is done once for the whole corpus.
+
 What is gathered grows with the input: counts of all words, bits of all training documents,
 the mixer's start from one in seven. The tables double with the training text up to
 ``2 ** table_bits`` slots a predictor (default 22: 4 MB each), the bound of what is
@@ -23,8 +26,8 @@ broadcast; beyond it contexts share slots. So are the ``head`` words (default 13
 base score's counts of all others are joined.
 
 Null text counts as empty: it has one token, its end. Repeated rows (equal id and text)
-get equal scores, each on its own row. A null id is an id like others. Very long texts are
-walked in windows of bounded size. Without training documents known counts are 0, the
+get equal scores, each on its own row. A null id is an id like others. Of very long texts
+a task holds the bytes, the words outside the head and one lane. Without training documents known counts are 0, the
 base score follows its formula, and predictors are all neutral. Other columns of the input
 are not read, whatever their names.
 """
@@ -35,7 +38,7 @@ import heapq
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,19 +46,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lockgate.llm import jvm
 from lockgate.llm.common import Work, remainder
 
 PREDICTORS = 4
 LANE = 256  # symbols
-LANES = 768  # side by side; what a task holds grows with them
-COUNTED = 256  # lanes whose bits are counted together
+LANES = 768  # that start alike, side by side
 SLICES = 16  # of one predictor's table
 FAN = 16  # parts that one task adds up
 LOCAL = 1024  # slots of a lane's own predictor
 GATES = 32
 CELLS = 49
-FLUSH = 300_000
-GROUP = 3 << 20  # bytes of text encoded together
+FLUSH = 300_000  # words that a task counts together
 TOPICS = 64
 RARE = 3  # words seen no oftener are spelled, so that escapes are learnt
 RATE = 0.015
@@ -332,19 +334,6 @@ def mix(tables: Tables, bits: Bits, begin: Start) -> tuple[np.ndarray, Start, np
     return out, Start(learnt, share @ refined.reshape(lanes, -1)), mass
 
 
-def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of batches of about ``GROUP`` bytes of text, or one longer text."""
-    for batch in batches:
-        a = held = 0
-        for i, text in enumerate(batch.column("text")):
-            held += text.as_buffer().size
-            if held > GROUP:
-                yield batch.slice(a, i + 1 - a)
-                a, held = i + 1, 0
-        if a < batch.num_rows:
-            yield batch.slice(a)
-
-
 def _walked(texts: Texts, code: Code, table_bits: int, lanes: int = LANES) -> Iterator[tuple[np.ndarray, Bits]]:
     """(texts of lanes, their decisions), some lanes at a time."""
     text, start, size = lanes_of(texts)
@@ -362,52 +351,29 @@ def logs_of(texts: Texts, code: Code, tables: Tables, begin: Start) -> np.ndarra
     return out
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n): occurrences in training documents, 0 for words of others."""
-    held: Counter = Counter()
+def _blobs(slice_: list[int], tables: list[np.ndarray]) -> pa.RecordBatch:
+    blobs = [zlib.compress(np.ascontiguousarray(t).tobytes(), 1) for t in tables]
+    return pa.RecordBatch.from_arrays([pa.array(slice_, pa.int32()), pa.array(blobs, pa.binary())], ["slice", "counts"])
 
-    def out() -> pa.RecordBatch:
-        words, n = zip(*held.items(), strict=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
 
-    for batch in batches:
-        for text, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist(), strict=True):
-            words = text.lower().split()
-            words.append(END)
-            if part < 2:
-                held.update(words)
-            else:
-                held.update(dict.fromkeys(words, 0))
-            if len(held) > FLUSH:
-                yield out()
-    if held:
-        yield out()
+def _packed(code: Code, base: np.ndarray, known: np.ndarray) -> bytes:
+    """The code, and what tokens add to the base score and to the known ones, as ``Lanes.java`` reads them."""
+    words = list(code.index)
+    parts = [
+        np.array([len(words), *map(len, words)], "<i4"), b"".join(words), code.length.astype("<i4"),
+        (code.nodes << 1 | code.bits).astype("<i4"), base.astype("<f8"), known.astype(np.uint8),
+    ]
+    return b"".join(p if isinstance(p, bytes) else p.tobytes() for p in parts)
 
 
-def _blobs(slice_: list[int], tables: list[np.ndarray]) -> pa.RecordBatch:
-    blobs = [zlib.compress(np.ascontiguousarray(t).tobytes(), 1) for t in tables]
-    return pa.RecordBatch.from_arrays([pa.array(slice_, pa.int32()), pa.array(blobs, pa.binary())], ["slice", "counts"])
+def _begun(start: Start) -> bytes:
+    return np.append(start.weights.ravel(), start.map).astype("<f8").tobytes()
 
 
-def _bit_counts(rows: DataFrame, code, table_bits: int, work: Work, name: str) -> DataFrame:
+def _bit_counts(rows: DataFrame, packed, table_bits: int, work: Work, name: str) -> DataFrame:
     """(slice, counts): zeros and ones by slot, one row a slice, added up ``FAN`` parts at a time."""
     schema = "slice int, counts binary"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = None
-        for batch in _groups(batches):
-            texts = encode(batch.column("text").to_pylist(), code.value)
-            if tables is None:
-                tables = np.zeros((PREDICTORS, 2 << table_bits), np.uint32)
-            for _, bits in _walked(texts, code.value, table_bits, COUNTED):
-                for i in range(PREDICTORS):
-                    np.add.at(tables[i], bits.slots[i] * 2 + bits.bits, np.uint32(1))
-        if tables is not None:
-            parts = tables.reshape(PREDICTORS * SLICES, -1)
-            for k in np.flatnonzero(parts.any(axis=1)):
-                yield _blobs([k], [parts[k]])
-
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros((2 << table_bits) // SLICES, np.float32)
         for blob in rows.column("counts"):
@@ -419,7 +385,8 @@ def _bit_counts(rows: DataFrame, code, table_bits: int, work: Work, name: str) -
 
     texts = rows.select("text")
     lots = texts.rdd.getNumPartitions()
-    counts = texts.mapInArrow(count, schema).withColumn("lot", F.spark_partition_id())
+    counting = jvm.made(rows.sparkSession, "Lanes$Counting", packed, table_bits)
+    counts = jvm.mapped(texts, counting, schema).withColumn("lot", F.spark_partition_id())
     while True:
         lots = -(-lots // FAN)
         counts = counts.withColumn("lot", F.col("lot") % lots)
@@ -445,28 +412,13 @@ def _tables(counts: DataFrame, table_bits: int) -> Tables:
     return Tables(stretched.reshape(PREDICTORS, -1))
 
 
-def _start(rows: DataFrame, code, tables) -> Start:
+def _start(rows: DataFrame, packed, stretched, table_bits: int) -> Start:
     """The mean of what every task learnt online, gates weighted by their use."""
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, mass, bits_seen = Start.neutral(), np.zeros(GATES), 0
-        for batch in _groups(batches):
-            texts = encode(batch.column("text").to_pylist(), code.value)
-            for _, bits in _walked(texts, code.value, tables.value.table_bits):
-                _, own, used = mix(tables.value, bits, own)
-                mass += used
-                bits_seen += len(bits.bits)
-        if bits_seen:
-            rows = np.arange(GATES + 1)
-            values = [*own.weights.tolist(), own.map.tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int32()), pa.array([*mass, float(bits_seen)]), pa.array(values, pa.list_(pa.float64()))],
-                ["gate", "mass", "learnt"],
-            )
-
-    learnt = rows.select("text").mapInArrow(learn, "gate int, mass double, learnt array<double>")
-    each = learnt.filter("mass > 0").select("gate", "mass", F.posexplode("learnt").alias("at", "value"))
-    means = each.groupBy("gate", "at").agg((F.sum(F.col("mass") * F.col("value")) / F.sum("mass")).alias("value"))
     begin = Start.neutral()
+    learning = jvm.made(rows.sparkSession, "Lanes$Learning", packed, stretched, table_bits, _begun(begin))
+    learnt = jvm.mapped(rows.select("text"), learning, "gate int, at int, mass double, value double")
+    each = learnt.filter("mass > 0")
+    means = each.groupBy("gate", "at").agg((F.sum(F.col("mass") * F.col("value")) / F.sum("mass")).alias("value"))
     for r in means.collect():  # GATES * (PREDICTORS + 1) + 2 * CELLS rows at most
         if r.gate < GATES:
             begin.weights[r.gate, r.at] = r.value
@@ -492,7 +444,7 @@ def scored(
         text.alias("text"),
         F.when(left == 2, 2).when(left == 3, 1).otherwise(0).alias("part"),
     )
-    counted = rows.select("text", "part").mapInArrow(_counted, "word binary, n long")
+    counted = jvm.mapped(rows.select("text", "part"), jvm.made(spark, "Lanes$Words", FLUSH), "word binary, n long")
     words = work.write(counted.groupBy("word").agg(F.sum("n").alias("c")), "words")
     sums = words.filter("c > 0").agg(F.sum("c"), F.count("*"), F.sum(F.col("c") * (F.length("word") + 1))).first()
     total, distinct, n_bytes = (v or 0 for v in sums)
@@ -504,52 +456,31 @@ def scored(
     top.append((END, ends.c if ends else 0))
     names, counts = [w for w, _ in top], [c for _, c in top]
     table_bits = min(max(16, math.ceil(math.log2(2 * max(n_bytes, 1)))), table_bits)
-    code = spark.sparkContext.broadcast(Code.of(names, counts, total - sum(counts)))
-
-    main = _bit_counts(rows.filter("part = 0"), code, table_bits, work, "bits")
-    tables = spark.sparkContext.broadcast(_tables(main, table_bits))
-    begin = _start(rows.filter("part = 1"), code, tables)
-
+    code = Code.of(names, counts, total - sum(counts))
     heads = np.array(counts, float)
     base, seen = np.append(np.log10((heads + 1) / size), 0.0), np.append(heads > 0, False)
-    id_kind = dict(rows.dtypes)["doc_id"]
-    fields = ["doc_id", "hash", "word", "n", "rows", "n_bytes", "n_known", "base", "score"]
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _groups(batches):
-            own = batch.column("text").to_pylist()
-            texts = encode(own, code.value)
-            logs = logs_of(texts, code.value, tables.value, begin) / LN10
-            whole = texts.symbols <= code.value.escape
-            of = np.repeat(np.arange(len(own)), np.diff(texts.first))[whole]
-            at = texts.symbols[whole]
-            n = np.bincount(of, minlength=len(own))
-            known = np.bincount(of, seen[at], len(own)).astype(np.int64)
-            sums = np.bincount(of, base[at], len(own))
-            rest = [(i, w, m) for i, held in enumerate(texts.tails) for w, m in held.items()]
-            take = pa.array([*range(len(own)), *(i for i, _, _ in rest)])
-            blank = [0] * len(rest)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(take), batch.column("hash").take(take),
-                pa.array([*[None] * len(own), *(w for _, w, _ in rest)], pa.binary()),
-                pa.array([*n.tolist(), *(m for _, _, m in rest)], pa.int64()),
-                pa.array([*[1] * len(own), *blank], pa.int64()),
-                pa.array([*map(len, own), *blank], pa.int64()),
-                pa.array([*known.tolist(), *blank], pa.int64()),
-                pa.array([*sums.tolist(), *blank], pa.float64()),
-                pa.array([*logs.tolist(), *blank], pa.float64()),
-            ], fields)
-
-    found = rows.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
-        score,
-        f"doc_id {id_kind}, hash long, word binary, n long, rows long, n_bytes long,"
-        " n_known long, base double, score double",
+    packed = jvm.shared(spark, _packed(code, base, seen))
+
+    main = _bit_counts(rows.filter("part = 0"), packed, table_bits, work, "bits")
+    stretched = jvm.shared(spark, _tables(main, table_bits).stretched.tobytes())
+    begin = _start(rows.filter("part = 1"), packed, stretched, table_bits)
+
+    scoring = jvm.made(spark, "Lanes$Scoring", packed, stretched, table_bits, _begun(begin))
+    kind = (
+        "struct<n: bigint, n_bytes: bigint, n_known: bigint, base: double, ln: double,"
+        " words: array<binary>, counts: array<bigint>>"
     )
+    found = rows.select("doc_id", F.xxhash64("text").alias("hash"), jvm.called(spark, scoring, kind, F.col("text")).alias("s"))
     lines = work.write(found, "lines")
-    done = lines.filter("word is null").drop("word")
+    done = lines.select(
+        "doc_id", "hash", "s.n", F.lit(1).cast("long").alias("rows"), "s.n_bytes", "s.n_known", "s.base",
+        (F.col("s.ln") / LN10).alias("score"),
+    )
     rate = F.log10((F.col("c") + 1) / F.lit(float(size)))
     none = F.lit(0).cast("long")
-    tails = lines.filter("word is not null").select("doc_id", "hash", "word", "n").join(words, "word").select(
+    rest = lines.select("doc_id", "hash", F.explode(F.arrays_zip("s.words", "s.counts")).alias("w"))
+    rest = rest.select("doc_id", "hash", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    tails = rest.join(words, "word").select(
         "doc_id", "hash", none.alias("n"), none.alias("rows"), none.alias("n_bytes"),
         F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("n_known"),
         (F.col("n") * rate).alias("base"), F.lit(0.0).alias("score"),

@@ -16,6 +16,7 @@ from lockgate.llm import (
     exact_dedup,
     jaccard,
     language,
+    jvm,
     lm_scoring,
     mixing,
     packing,
@@ -473,6 +474,59 @@ def test_a_text_scores_alike_in_any_company():
     assert together == pytest.approx(alone, rel=1e-6)
 
 
+def test_executors_walk_texts_as_numpy_does(spark):
+    code, tables, begin = small_model()
+    own = [b"The zebra\x0bof the quagga", b"", "\u00fcber\u2028the \x85 of\x00x".encode(), b"x" * 3000 + b" of", b"of the zebra " * 70_000]
+    texts, bits = lm_scoring.encode(own, code), tables.table_bits
+    frame = spark.createDataFrame([(bytearray(t), i) for i, t in enumerate(own)], "text binary, part int").coalesce(1)
+    base, seen = np.array([-1.0, -2.0, -0.5, 0.0]), np.array([1, 0, 1, 0])
+    packed = jvm.shared(spark, lm_scoring._packed(code, base, seen))
+    stretched, start = jvm.shared(spark, tables.stretched.tobytes()), lm_scoring._begun(begin)
+
+    kind = (
+        "struct<n: bigint, n_bytes: bigint, n_known: bigint, base: double, ln: double,"
+        " words: array<binary>, counts: array<bigint>>"
+    )
+    scoring = jvm.made(spark, "Lanes$Scoring", packed, stretched, bits, start)
+    found = frame.select("part", jvm.called(spark, scoring, kind, F.col("text")).alias("s")).select("part", "s.*")
+    logs = lm_scoring.logs_of(texts, code, tables, begin)
+    for r in found.collect():
+        words = [*own[r.part].lower().split(), b""]
+        at = [code.index.get(w, code.escape) for w in words]
+        assert (r.n, r.n_bytes, r.n_known) == (len(at), len(own[r.part]), int(seen[at].sum()))
+        assert r.base == pytest.approx(base[at].sum()) and r.ln == pytest.approx(logs[r.part], rel=1e-4)
+        assert dict(zip(map(bytes, r.words), r.counts)) == texts.tails[r.part]
+
+    expected = np.zeros((lm_scoring.PREDICTORS, 2 << bits), np.uint32)
+    learnt, mass = begin, np.zeros(lm_scoring.GATES)
+    for _, part in lm_scoring._walked(texts, code, bits):
+        for i in range(lm_scoring.PREDICTORS):
+            np.add.at(expected[i], part.slots[i] * 2 + part.bits, np.uint32(1))
+        _, learnt, used = lm_scoring.mix(tables, part, learnt)
+        mass += used
+    counted = jvm.mapped(frame, jvm.made(spark, "Lanes$Counting", packed, bits), "slice int, counts binary")
+    counts = np.zeros((lm_scoring.PREDICTORS * lm_scoring.SLICES, expected.shape[1] // lm_scoring.SLICES), np.uint32)
+    for r in counted.collect():
+        counts[r.slice] = np.frombuffer(zlib.decompress(r.counts), np.uint32)
+    assert (counts.reshape(expected.shape) == expected).all()
+
+    learning = jvm.made(spark, "Lanes$Learning", packed, stretched, bits, start)
+    rows = jvm.mapped(frame, learning, "gate int, at int, mass double, value double").collect()
+    values = {(r.gate, r.at): r.value for r in rows}
+    gates = np.array([[values[g, i] for i in range(lm_scoring.PREDICTORS + 1)] for g in range(lm_scoring.GATES)])
+    assert gates == pytest.approx(learnt.weights, abs=1e-4)
+    assert [values[lm_scoring.GATES, i] for i in range(2 * lm_scoring.CELLS)] == pytest.approx(learnt.map, abs=1e-4)
+    assert {(r.gate, r.mass) for r in rows if r.gate < lm_scoring.GATES} == set(enumerate(mass))
+
+    words = Counter()
+    for r in jvm.mapped(frame, jvm.made(spark, "Lanes$Words", 3), "word binary, n long").collect():
+        words[bytes(r.word)] += r.n
+    every = Counter(dict.fromkeys([w for t in own for w in t.lower().split()], 0))
+    for t in own[:2]:
+        every.update([*t.lower().split(), b""])
+    assert words == every
+
+
 def test_the_order_of_words_counts(spark):
     rng = random.Random(8)
     follows = {f"w{i}": [f"w{rng.randrange(40)}" for _ in range(2)] for i in range(40)}
