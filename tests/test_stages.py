@@ -332,3 +332,26 @@ def test_silver_shuffles_rows_once_for_copies_and_days(spark, monkeypatch, tmp_p
     assert found[0] == found[1] and found[0][1] > 0
     assert len(arranged) == (2 if by_hand else 1)
     assert len(list(Path(config.layer_path("silver")).glob("pickup_date=*/*.parquet"))) <= 7 + 8
+
+
+@pytest.mark.parametrize("by_hand", [False, True])
+def test_merges_deal_rows_by_their_fields_where_ids_follow(spark, monkeypatch, tmp_path, by_hand):
+    """Many rows: as few rows give it; ids given by hand do not follow from their row, and may be shared."""
+    loads = q.late_loads(spark, SF)
+    found = []
+    for bound in (10**9, 0):
+        monkeypatch.setattr(trip_steps, "SORTED_ROWS", bound)
+        first, second = (replace(c, warehouse=str(tmp_path / f"w{bound}")) for c in loads)
+        assert stages.run_bronze(first, spark).digests
+        bronze = spark.read.schema(L.BRONZE_LAYOUT).parquet(first.layer_path("bronze"))
+        if by_hand:
+            own = F.concat(F.lit("twin of "), F.col("pickup_date").cast("string"))
+            given = bronze.withColumn("trip_id", F.when(F.hour("pickup_at") > 2, F.col("trip_id")).otherwise(own))
+            write_layer(given, first.layer_path("bronze"))
+        merged = stages.run_bronze(second, spark)
+        assert merged.digests != by_hand
+        result = stages.run_silver(second, spark, merged.days, digests=merged.digests)
+        rows = [read_layer(spark, second.layer_path(s), kind).collect() for s, kind in (("bronze", L.BRONZE_LAYOUT), ("silver", L.SILVER_LAYOUT))]
+        report = result.report.drop("stage").collect()
+        found.append((result.rows_in, result.rows_out, *(sorted(map(str, part)) for part in (*rows, report))))
+    assert found[0] == found[1] and found[0][1] > 0

@@ -265,3 +265,19 @@ def test_ids_worked_out_from_the_row_do_not_cross_a_shuffle(spark, monkeypatch,
     assert kept.count() == 12
     assert {row.tip_amount for row in kept.join(dated, "trip_id", "left_semi").collect()} == {0.5}
     assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
+
+
+def test_digests_are_worked_out_behind_the_shuffle(spark, capsys):
+    schema = KEY.replace("timestamp_ntz", "timestamp") + ", tip_amount double"
+    at = datetime(2026, 6, 3, 1, 2, 3, 450)
+    nan = float("nan")
+    keys = [(1, at, at, 7, 8, 0.0), (1, at, at, 7, 8, -0.0), (None, at, None, 7, 8, nan), (1, at, at, None, 8, None), (1, at, at, 8, None, 1e300)]
+    rows = [(*key, 1.5, 2.5, float(tip)) for key in keys for tip in (3, 2)]
+    df = spark.createDataFrame(rows, schema).transform(t.add_trip_id).transform(t.add_pickup_date)
+    dealt = t.gathered(df, "trip_id", ["pickup_date"], digests=True)
+    found = t.first_copies(dealt, "trip_id", ["pickup_date", t.DEALT])
+    found.explain()
+    above, shuffle, below = capsys.readouterr().out.partition("Exchange ")
+    assert shuffle and "sha2" in above and "sha2" not in below and "Exchange " not in below
+    expected = sorted(map(str, t.first_copies(df, "trip_id").collect()))
+    assert sorted(map(str, found.drop(t.DEALT).collect())) == expected and len(expected) == len(keys)
